@@ -101,11 +101,13 @@ def quality_columns(docs: DataFrame, weights: list[int], threshold: float = THRE
     x = x.select("row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"), "n_features", "total")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     good = F.col("total") >= F.lit(round(threshold * UNIT)).cast("long") * F.col("n_features")
-    return x.select(
+    judged = F.struct(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & good).alias("kept"),
         F.when(F.col("n_features") > 0, F.col("total") / F.col("n_features") / UNIT).otherwise(F.lit(0.0)).alias("score"), "row",
     )
+    # a generator of one row: a filter on the result isn't pushed below it, where it would repeat all the work above
+    return x.select(F.inline(F.array(judged)))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
