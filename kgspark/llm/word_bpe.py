@@ -3,15 +3,16 @@
 Files whose normaliser and pre-tokeniser only change or cut text at white space or
 inside words (the lower-casing word-end BPE) allow it: the ids of a text are those
 of its white-space separated words, one after the other.  Ids of words met before come
-from a cache; the others are encoded by the library, many in one call, with a
-special token between them as the mark where one ends.  Any other file, and texts
-with separators that Python and the file disagree on, go to the library whole.
+from a cache; the others are encoded by the library, plain ones by its model
+alone.  Any other file, and texts with separators that Python and the file disagree
+on, go to the library whole.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from itertools import islice
 
 import numpy as np
 
@@ -51,7 +52,7 @@ def _separable(spec: dict) -> bool:
 class WordEncoder:
     """ids of whole texts as little-endian uint32 bytes, as ``encode(text, add_special_tokens=False)`` gives them."""
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 600_000):
         import json
 
         from tokenizers import Tokenizer
@@ -61,9 +62,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        marks = [x for x in spec.get("added_tokens", []) if x.get("special") and not x.get("normalized")]
-        self.separable = _separable(spec) and bool(marks)
-        self.mark, self.mark_id = (marks[0]["content"], marks[0]["id"]) if marks else ("", -1)
+        # special tokens are found before anything else; those told apart by "<|" can't be in a plain word
+        self.separable = _separable(spec) and all(x["content"].startswith("<|") and not x.get("lstrip") and not x.get("rstrip") for x in spec.get("added_tokens", []))
         self.keep, self.known, self.parts = keep, {}, {}
         self.bytes, self.model = _byte_level(), self.tokenizer.model
 
@@ -76,42 +76,36 @@ class WordEncoder:
             done = self.parts[part] = array("I", [t.id for t in self.model.tokenize(part.translate(self.bytes))]).tobytes()
         return done
 
-    def learn(self, words: set[str]) -> None:
-        """Put the ids of new words into the cache."""
-        if len(self.known) > self.keep:
-            self.known.clear()
-            self.parts.clear()
-        todo = []
-        for w in words:
-            if w not in self.known:
-                if _PLAIN.fullmatch(w) and "<|" not in w:
-                    self.known[w] = b"".join([self._part(p) for p in _PARTS.findall(w.lower())])
-                else:
-                    todo.append(w)
-        plain = [w for w in todo if self.mark not in w]
-        for lo in range(0, len(plain), 2000):
-            group = plain[lo : lo + 2000]
-            ids = np.array(self.tokenizer.encode(self.mark.join(group), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(ids == self.mark_id)
-            for w, x in zip(group, np.split(ids, ends), strict=True):
-                self.known[w] = x[x != self.mark_id].tobytes()
-        for w in todo:
-            if self.mark in w:
-                self.known[w] = self._library(w)
+    def _learn(self, word: str) -> bytes:
+        """The ids of a word met for the first time; of a full cache the older half stays, where the frequent words are."""
+        if len(self.known) >= self.keep:
+            self.known = dict(islice(self.known.items(), self.keep // 2))
+        if len(self.parts) >= self.keep:
+            self.parts = dict(islice(self.parts.items(), self.keep // 2))
+        if _PLAIN.fullmatch(word) and "<|" not in word:
+            low = word.lower()
+            ids = self._part(low) if low.isalpha() else b"".join([self._part(p) for p in _PARTS.findall(low)])
+        else:
+            ids = self._library(word)
+        self.known[word] = ids
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of many whole texts (null: none)."""
         if not self.separable:
             return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
         out: list[bytes] = []
-        for lo in range(0, len(texts), 64):
-            cut = [None if t and _ODD.search(t) else (t or "").split() for t in texts[lo : lo + 64]]
-            new = {w for words in cut if words for w in words}.difference(self.known)
-            if new:
-                self.learn({w for words in cut if words for w in words} if len(self.known) > self.keep else new)
-            known = self.known
-            for t, words in zip(texts[lo : lo + 64], cut):
-                out.append(self._library(t or "") if words is None else b"".join([known[w] for w in words]))
+        for t in texts:
+            if t and _ODD.search(t):
+                out.append(self._library(t))
+                continue
+            words = (t or "").split()
+            ids = list(map(self.known.get, words))
+            if None in ids:
+                for k, x in enumerate(ids):
+                    if x is None:
+                        ids[k] = self.known.get(words[k]) or self._learn(words[k])
+            out.append(b"".join(ids))
         return out
 
 
