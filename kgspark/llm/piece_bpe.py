@@ -19,9 +19,10 @@ cut before blanks and around line feeds, and each cut part (pre-token) encoded a
 from __future__ import annotations
 
 import re
+from array import array
+from itertools import islice
 
 import ahocorasick
-import numpy as np
 
 SPACE = "▁"
 NEVER = 1 << 40
@@ -217,21 +218,23 @@ def model(path: str) -> PieceModel:
 
 
 class PieceEncoder:
-    """Encodes whole texts; keeps the int32 ids of pre-tokens it has met, up to ``keep`` of them."""
+    """Encodes whole texts; keeps the int32 ids of up to ``keep`` pre-tokens it has met, and of a full cache the older half, where the frequent ones are."""
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 600_000):
         self.model, self.keep, self.known = model(path), keep, {"": b""}
 
+    def _learn(self, part: str) -> bytes:
+        if len(self.known) >= self.keep:
+            self.known = dict(islice(self.known.items(), self.keep // 2))
+        ids = self.known[part] = array("i", self.model.encode_part(part)).tobytes()
+        return ids
+
     def encode(self, text: str | None) -> bytes:
-        """Little-endian int32 ids of a whole text."""
-        parts, known = pre_tokens(text), self.known
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            if len(known) > self.keep:
-                known.clear()
-                known[""] = b""
-            for p in parts:
-                if p not in known:
-                    known[p] = np.array(self.model.encode_part(p), dtype="<i4").tobytes()
-            return b"".join([known[p] for p in parts])
+        """Native (little-endian) int32 ids of a whole text."""
+        parts = pre_tokens(text)
+        ids = list(map(self.known.get, parts))
+        if None in ids:
+            for k, x in enumerate(ids):
+                if x is None:
+                    ids[k] = self.known.get(parts[k]) or self._learn(parts[k])
+        return b"".join(ids)

@@ -50,7 +50,9 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 ids = batch.column(1).slice(lo, ROWS)
-                texts = pa.array([decode(x) if x else "" for x in ids.to_pylist()], pa.string())
+                flat = ids.flatten().to_numpy()  # the ids of all rows, without an object for each
+                ends = np.cumsum([0, *(n or 0 for n in ids.value_lengths().to_pylist())]).tolist()
+                texts = pa.array([decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
                 yield pa.record_batch([batch.column(0).slice(lo, ROWS), ids, texts], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
