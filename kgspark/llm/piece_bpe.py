@@ -62,7 +62,7 @@ class PieceModel:
         self.ids: dict[str, int] = {}
         self.byte_ids = [0] * 256
         self.surface: list[bytes] = []
-        self.bytes: frozenset[int] = frozenset()
+        self.kept: set[int] = set()  # their leading blank is no dummy
         for i, p in enumerate(spec.pieces):
             if p.type == kind.BYTE:
                 value = int(p.piece[1:-1], 16)
@@ -73,12 +73,13 @@ class PieceModel:
                 order[p.piece] = (-p.score, i)
                 self.surface.append(p.piece.replace(SPACE, " ").encode())
             elif p.type == kind.UNKNOWN:
+                self.kept.add(i)
                 self.surface.append(t.unk_surface.encode())
             elif p.type == kind.CONTROL:
                 self.surface.append(b"")
             else:
                 raise ValueError(f"pieces of type {p.type} are not supported")
-        self.bytes = frozenset(self.byte_ids)
+        self.kept.update(self.byte_ids)
         if any(SPACE in p.lstrip(SPACE) or p.startswith("▁▁") and p.strip(SPACE) or "\n" in p for p in self.ids):
             raise ValueError("a piece holds a blank after other characters, or a line feed")
         runs = {p for p in order if len(p) > 1 and not p.strip(SPACE)}
@@ -196,7 +197,7 @@ class PieceModel:
         parts = list(map(self.surface.__getitem__, ids))
         for k, x in enumerate(parts):  # the dummy blank goes from the first piece that has a surface
             if x:
-                if x[:1] == b" " and ids[k] not in self.bytes:
+                if x[:1] == b" " and ids[k] not in self.kept:
                     parts[k] = x[1:]
                 break
         whole = b"".join(parts)
