@@ -126,6 +126,8 @@ def test_sparql_subset(spark):
         sparql.sparql(q, "SELECT ?a ?b WHERE { ?a <x:p> <x:o> . ?b <x:p> <x:o> }")
     tiny = spark.createDataFrame([("g1", "c1", views.RDF_TYPE, views.SCHEMA + "Claim"), ("g2", "c1", views.RDF_TYPE, views.SCHEMA + "Claim"), ("g1", "c2", views.RDF_TYPE, views.SCHEMA + "Claim"), ("g1", "c1", views.ONTOLOGY + "hasEmotion", "e1"), ("g1", "c1", views.ONTOLOGY + "hasEmotion", "e2"), ("g1", "c2", views.ONTOLOGY + "promotesConspiracy", "k")], "graph string, s string, p string, o string").withColumns({"o_kind": F.lit("iri"), "o_datatype": F.lit("")})
     assert graph_queries.enrichment_coverage(tiny).collect() == graph_queries.enrichment_coverage_sparql(tiny).collect()
+    assert graph_queries.claim_factors(tiny).collect() == graph_queries.claim_factors_sparql(tiny).collect()
+    assert graph_queries.claim_factors(q).collect() == graph_queries.claim_factors_sparql(q).collect()
     assert [tuple(r) for r in graph_queries.class_distribution(tiny).collect()] == [(views.SCHEMA + "Claim", 2)]
 
 
