@@ -118,3 +118,13 @@ def extract_urls(c: Column) -> Column:
 def full_uri(c: Column, base: str) -> Column:
     """Absolute IRIs as they are, others under ``base``."""
     return F.when(c.startswith("http"), c).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(c, "^/+", "")))
+
+
+def factor_title(value: Column, category: Column | None = None) -> Column:
+    """How a factor value is shown: Unknown if empty, climate flags in words, else words with capitals."""
+    words = F.initcap(F.regexp_replace(F.lower(F.translate(value, "_-", "  ")), r"\s+", " "))
+    title = F.when(F.coalesce(value, F.lit("")) == "", "Unknown").otherwise(words)
+    if category is None:
+        return title
+    climate = category == "climate_related"
+    return F.when(climate & (value == "true"), "Climate Related").when(climate & (value == "false"), "Not Climate Related").otherwise(title)

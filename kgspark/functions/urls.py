@@ -151,3 +151,27 @@ def access_challenge(html: Column, url: Column) -> Column:
         strong = strong | low.contains(m)
     soft = sum((low.contains(m).cast("int") for m in SOFT_MARKS), F.lit(0))
     return F.coalesce(path.contains("/cdn-cgi/challenge-platform/") | strong | (soft >= 2), F.lit(False))
+
+
+def retry_after(header: Column, now: Column) -> Column:
+    """A Retry-After header as a time, seconds or an HTTP date, never before ``now``; null if it is neither."""
+    seconds = F.when(header.rlike(r"^\s*\d{1,9}\s*$"), now + F.make_dt_interval(secs=F.trim(header).try_cast("int")))
+    date = F.regexp_extract(header, r"^\s*\w{3}, (\d{2} \w{3} \d{4} \d{2}:\d{2}:\d{2}) GMT\s*$", 1)
+    when = F.coalesce(seconds, F.try_to_timestamp(date, F.lit("dd MMM yyyy HH:mm:ss")))
+    return F.when(when.isNotNull(), F.greatest(when, now))
+
+
+#: What a fetched document may be, and how large.
+CONTENT_TYPES, MAX_RESPONSE = ("text/html", "application/xhtml+xml", "text/plain"), 5 * 1024 * 1024
+
+
+def fetch_problem(content_type: Column, size: Column) -> Column:
+    """unsupported_content, response_too_large or null."""
+    kind = F.lower(F.trim(F.split_part(F.coalesce(content_type, F.lit("")), F.lit(";"), F.lit(1))))
+    return F.when(~kind.isin(*CONTENT_TYPES), "unsupported_content").when(size > MAX_RESPONSE, "response_too_large")
+
+
+def valid_iri(c: Column) -> Column:
+    """An absolute http(s) IRI without forbidden characters, bad escapes or user info; else null."""
+    fine = c.rlike(r"^https?://[^/?#@]+([/?#]|$)") & ~c.rlike(r"[\x00-\x20<>\"{}|^`\\]") & ~c.rlike("%(?![0-9A-Fa-f]{2})")
+    return F.when(fine, c)

@@ -89,3 +89,29 @@ def review_views(resolved: DataFrame) -> DataFrame:
         F.array_join(F.array_sort(F.collect_set("observed_url")), ",").alias("urls"),
         F.min(own)["record_key"].alias("representative"),
     )
+
+
+def absorb(resolved: DataFrame) -> DataFrame:
+    """(document_id, text_hash, words): the best content of a document: most words, any hash before none, then the smaller hash."""
+    order = F.struct(F.col("words"), F.col("text_hash").isNotNull().alias("any"), F.translate(F.coalesce("text_hash", F.lit("")), "0123456789abcdef", "fedcba9876543210").alias("down"))
+    return resolved.groupBy("document_id").agg(F.max_by(F.struct("text_hash", "words"), order).alias("x")).select("document_id", "x.*")
+
+
+def conflicts(resolved: DataFrame) -> DataFrame:
+    """(organization_uri, kind, value, documents): evidence that points at more than one document."""
+    facts = evidence(resolved).join(resolved.select("record_key", "document_id"), "record_key")
+    x = facts.groupBy("organization_uri", "kind", "value").agg(F.min("document_id").alias("a"), F.max("document_id").alias("b"), F.count_distinct("document_id").alias("documents"))
+    return x.filter("a <> b").drop("a", "b")
+
+
+def per_source(observations: DataFrame, fields: list[str]) -> DataFrame:
+    """The observation that stands for a review in each of its sources: most filled fields, then the greatest record key."""
+    filled = sum((F.col(c).isNotNull().cast("int") for c in fields), F.lit(0))
+    row = F.struct(*[F.col(c) for c in observations.columns])
+    return observations.groupBy("claim_review_id", "source_name").agg(F.max_by(row, F.struct(filled.alias("n"), "record_key")).alias("r")).select("r.*")
+
+
+def longest(observations: DataFrame, column: str) -> DataFrame:
+    """(claim_review_id, source_name, value): the longest text of a column, the first on ties."""
+    order = F.struct((-F.length(column)).alias("n"), "record_key")
+    return observations.filter(F.col(column).isNotNull()).groupBy("claim_review_id", "source_name").agg(F.min_by(column, order).alias(column))

@@ -47,17 +47,23 @@ def _errors(**rules: Column) -> Column:
     return F.filter(F.array(*[F.when(F.coalesce(broken, F.lit(True)), F.lit(name)) for name, broken in rules.items()]), lambda x: x.isNotNull())
 
 
-def _json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Items of files that hold one JSON array each; ``bad_file`` marks files that don't parse as one."""
+def _json_array(spark: SparkSession, path: str | DataFrame, schema: str) -> DataFrame:
+    """Items of files that hold one JSON array each; ``bad_file`` marks files that don't parse as one.  A table of items is taken as it is."""
+    if isinstance(path, DataFrame):
+        return path.select(F.lit(0).alias("item_index"), F.lit(False).alias("bad_file"), *[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in path.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in _fields(schema)])
     raw = spark.read.text(path, wholetext=True)
     items = raw.select(F.from_json("value", f"array<struct<{_typed(schema)}>>", {"mode": "PERMISSIVE"}).alias("items"), (~F.trim("value").rlike(r"(?s)^\[.*\]$")).alias("bad_file"))
     return items.select(F.posexplode_outer("items").alias("item_index", "item"), (F.col("bad_file") | F.col("items").isNull()).alias("bad_file")).select("item_index", "bad_file", "item.*")
 
 
-def _typed(schema: str) -> str:
+def _fields(schema: str) -> list:
     from pyspark.sql.types import StructType
 
-    return StructType.fromDDL(schema).simpleString()[len("struct<") : -1]
+    return StructType.fromDDL(schema).fields
+
+
+def _typed(schema: str) -> str:
+    return ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in _fields(schema))
 
 
 def _observations(x: DataFrame, source_name: str, source_type: str, **columns: Column) -> DataFrame:
@@ -121,7 +127,7 @@ def wiki_pages(spark: SparkSession, path: str, source_name: str) -> DataFrame:
 
 def evidence_lines(spark: SparkSession, path: str, source_name: str) -> DataFrame:
     """JSON lines of claims with evidence; lines that don't parse are rejects."""
-    raw = spark.read.text(path).filter(~blank(F.col("value")))
+    raw = (path if isinstance(path, DataFrame) else spark.read.text(path)).filter(~blank(F.col("value")))
     x = raw.select(F.from_json("value", EVIDENCE).alias("x"), "value").select("x.*")
     rules = _errors(line=F.col("claim_id").isNull(), claim=blank(F.col("claim")), label=~F.coalesce(F.col("claim_label").isin(*EVIDENCE_LABELS), F.lit(False)))
     pages = F.array_distinct(F.transform(F.coalesce("evidences", F.array().cast("array<struct<article:string,evidence:string,evidence_label:string>>")), lambda e: F.concat(F.lit("https://en.wikipedia.org/wiki/"), F.regexp_replace(e["article"], " ", "_"))))

@@ -54,8 +54,8 @@ def test_scalars(spark):
     assert _col(spark, text.analysis_text, ["see HTTPS://x.y/z now"]) == ["see now"]
     assert _col(spark, text.claim_problem, ["", "https://a.b", "[…]", "B12", "日本", None]) == ["empty", "url_only", "no_alphanumeric", None, None, "empty"]
     assert _col(spark, text.rating_label, ["False", " TRUE ", "unknown", "Not-Credible", "mostly credible", None]) == ["not_credible", "credible", None, "not_credible", "mostly_credible", None]
-    sites = ["http://www.stopfake.org", "stopfake.org/", "https://WWW.stopfake.org/en?x#y", "https://user:p@stopfake.org:443", "http://stopfake.org:80", "https://a.org:8080/", "ftp://a.org", "https://mañana.com", ""]
-    assert _col(spark, urls.organization_url, sites) == ["https://stopfake.org"] * 5 + ["https://a.org:8080", None, "https://xn--maana-pta.com", None]
+    sites = ["http://www.check-site.org", "check-site.org/", "https://WWW.check-site.org/en?x#y", "https://user:p@check-site.org:443", "http://check-site.org:80", "https://a.org:8080/", "ftp://a.org", "https://mañana.com", ""]
+    assert _col(spark, urls.organization_url, sites) == ["https://check-site.org"] * 5 + ["https://a.org:8080", None, "https://xn--maana-pta.com", None]
     safe = ["https://a.org/x y", "https://a.org/%20%zz", "https://a.org:bad/", "https://u:p@a.org/é?q=a&b#f f", "ftp://a.org", "https://a b.org"]
     assert _col(spark, urls.sanitize_url, safe) == ["https://a.org/x%20y", "https://a.org/%20%25zz", None, "https://a.org/%C3%A9?q=a&b#f%20f", None, None]
     assert _col(spark, urls.document_url, ["HTTPS://A.org:443#x", "http://a.org:8080/p?q#f"]) == ["https://a.org/", "http://a.org:8080/p?q"]
