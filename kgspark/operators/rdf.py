@@ -37,6 +37,33 @@ def observation_quads(obs: DataFrame) -> DataFrame:
     return obs.select(F.explode(F.array(*rows)).alias("q")).filter("q is not null").select("q.*").distinct()
 
 
+def graph_of(source_name: str) -> str:
+    from ..plans.views import BASE
+
+    return f"{BASE}/graph/{source_name}"
+
+
+def review_quads(reviews: DataFrame) -> DataFrame:
+    """Quads of identified observations: review, claim, rating, dates, texts and appearances; empty values give none."""
+    from ..plans.views import BASE, ONTOLOGY, RDF_TYPE, SCHEMA, XSD
+
+    iri = lambda *parts: F.concat(F.lit(f"{BASE}/"), *parts)
+    c, lit = F.col, F.lit
+    graph, review, claim, org = iri(lit("graph/"), c("source_name")), iri(lit("review/"), c("claim_review_id")), iri(c("claim_uri")), iri(c("organization_uri"))
+    rating = iri(lit("rating/"), digest("organization-rating", c("organization_uri"), F.coalesce("label", lit("")), F.coalesce("original_label", lit(""))))
+    full = lambda name: F.coalesce(c(name), lit("")) != ""
+    rows = [
+        _quad(graph, review, RDF_TYPE, f"{SCHEMA}ClaimReview"), _quad(graph, review, f"{SCHEMA}itemReviewed", claim), _quad(graph, review, f"{SCHEMA}author", org),
+        _quad(graph, review, f"{SCHEMA}url", c("document_key"), when=c("document_key").startswith("http")),
+        _quad(graph, review, f"{SCHEMA}datePublished", c("date_published"), "literal", f"{XSD}date", full("date_published")), _quad(graph, review, f"{SCHEMA}inLanguage", c("language"), "literal", when=full("language")),
+        _quad(graph, review, f"{SCHEMA}text", c("review_text"), "literal", when=full("review_text")), _quad(graph, claim, RDF_TYPE, f"{SCHEMA}Claim"), _quad(graph, claim, f"{SCHEMA}text", c("claim_text"), "literal"),
+        _quad(graph, review, f"{SCHEMA}reviewRating", rating, when=full("original_label")), _quad(graph, rating, RDF_TYPE, f"{SCHEMA}Rating", when=full("original_label")), _quad(graph, rating, f"{SCHEMA}author", org, when=full("original_label")),
+        _quad(graph, rating, f"{SCHEMA}name", c("original_label"), "literal", when=full("original_label")), _quad(graph, review, f"{ONTOLOGY}normalizedReviewRating", iri(lit("rating/"), c("label")), when=full("label")),
+    ]
+    quads = F.concat(F.array(*rows), F.transform(F.coalesce("appearances", F.array().cast("array<string>")), lambda u: _quad(graph, claim, f"{SCHEMA}appearance", u)))
+    return reviews.select(F.explode(quads).alias("q")).filter("q is not null").select("q.*").distinct()
+
+
 def _escaped(c: Column) -> Column:
     for a, b in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r")):
         c = F.replace(c, F.lit(a), F.lit(b))

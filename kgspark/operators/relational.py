@@ -20,7 +20,9 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], keep: Sequence[s
 
 def deactivate_missing(table: DataFrame, sources: DataFrame, run_id: str) -> DataFrame:
     """Rows of the installed ``sources`` (source_name) that this run didn't see become inactive."""
-    flag = F.broadcast(sources.select("source_name").distinct().withColumn("_installed", F.lit(True))) if sources.count() <= 10_000 else sources.select("source_name").distinct().withColumn("_installed", F.lit(True))
+    flag = sources.select("source_name").distinct().withColumn("_installed", F.lit(True))
+    if flag.count() <= 10_000:
+        flag = F.broadcast(flag)
     joined = table.join(flag, "source_name", "left")
     active = F.when(F.col("_installed") & (F.col("last_seen_run_id") != run_id), F.lit(False)).otherwise(F.col("active"))
     return joined.select(*[active.alias("active") if c == "active" else F.col(c) for c in table.columns])
