@@ -9,8 +9,9 @@ one ridge regression for each language (one against the rest) scores these.  Tex
 scored in batches: a presence matrix times the landmarks' presence matrix, then
 times one matrix that holds map and regressions.
 
-The training sample is bounded: at most ``per_lang`` documents of a language, chosen by
-a hash of their id among all rows that may be learned from.
+The training sample is bounded: at most ``per_lang`` documents of each of the ``MAX_LANGS``
+most frequent languages, chosen by a hash of their id among all rows that may be learned
+from; with many languages each has fewer landmarks, ``LANDMARKS`` (or two each) in all.
 
 Defined results: text null or without a letter: ``und`` with score 0.  With no labelled
 row to learn from every text is ``und``.  Rows keep their number and their id,
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-PER_LANG, LANDMARKS_PER_LANG, RIDGE, BITS, ROWS, MAX_LANGS = 300, 64, 1e-3, 7, 64, 256
+PER_LANG, LANDMARKS_PER_LANG, LANDMARKS, RIDGE, BITS, ROWS, MAX_LANGS, CHUNK = 300, 64, 256, 1e-3, 7, 64, 256, 1 << 20
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -48,7 +49,9 @@ class KernelModel:
     def presence(self, text: str) -> np.ndarray:
         """Which of the landmarks' n-grams the whole text holds."""
         here = np.zeros(self.landmarks.shape[0], dtype=bool)
-        here[self.slot[grams(text, self.fold)]] = True
+        low = text.lower()
+        for at in range(0, len(low), CHUNK):  # with two characters more, so that no n-gram is cut
+            here[self.slot[grams(low[at : at + CHUNK + 2], self.fold)]] = True
         here[0] = False
         return here
 
@@ -60,8 +63,8 @@ class KernelModel:
 
 
 def grams(text: str, fold: np.ndarray) -> np.ndarray:
-    """Codes of all n-grams of a whole text; pairs lie after the triples."""
-    c = fold[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+    """Codes of all n-grams of a lower-cased text; pairs lie after the triples."""
+    c = fold[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
     two = (c[:-1] << BITS) | c[1:]
     three = (two[:-1] << BITS) | c[2:]
     return np.concatenate([three, two + (1 << 3 * BITS)])
@@ -83,9 +86,10 @@ def fit(texts: list[str], langs: list[str], landmarks_per_lang: int = LANDMARKS_
     names = sorted(set(langs))
     if not names:
         return None
+    landmarks_per_lang = max(2, min(landmarks_per_lang, LANDMARKS // len(names)))
     marks = [i for n in names for i in [k for k, x in enumerate(langs) if x == n][:landmarks_per_lang]]
     fold = _alphabet([texts[i] for i in marks])
-    held = [np.unique(grams(texts[i], fold)) for i in marks]
+    held = [np.unique(grams(texts[i].lower(), fold)) for i in marks]
     every = np.unique(np.concatenate(held)) if held else np.empty(0, dtype=np.int64)
     slot = np.zeros((1 << 3 * BITS) + (1 << 2 * BITS), dtype=np.int32)
     slot[every] = np.arange(1, len(every) + 1)
