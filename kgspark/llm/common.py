@@ -35,6 +35,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows, so that the other side of a join needn't be dealt by a key that may be hot."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(node, component) of every node on an edge; component is its smallest node.
 
@@ -53,8 +58,8 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(seed)).alias("r"), F.col(c).alias("v"))  # noqa: B023, E731
         to = both.groupBy("a").agg(F.min(rank("b")).alias("m")).select("a", F.least(rank("a"), "m")["v"].alias("to"))
         to = cut(to)
-        label = cut(label.join(to, label["label"] == to["a"], "left").select("node", F.coalesce("to", "label").alias("label")))
+        label = cut(label.join(small(to), label["label"] == to["a"], "left").select("node", F.coalesce("to", "label").alias("label")))
         other = to.select(F.col("a").alias("b"), F.col("to").alias("to_b"))
         both = cut(both.join(to, "a").join(other, "b").select(F.col("to").alias("a"), F.col("to_b").alias("b")).filter("a <> b").distinct())
-    least = label.groupBy("label").agg(F.min("node").alias("component"))
-    return label.join(least, "label").select("node", "component")
+    least = cut(label.groupBy("label").agg(F.min("node").alias("component")))
+    return label.join(small(least), "label").select("node", "component")

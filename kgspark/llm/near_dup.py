@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut
+from .common import components, cut, small
 from .sketch import band_keys, set_id, shingles, similar, sketch
 
 BANDS, ROWS, FLOOR, BLOCK, WIDE = 40, 4, 0.58, 400, 20_000
@@ -141,18 +141,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = cut(spread.join(hubs, "key"))
     cluster = cut(components(members.select("rep", "hub").filter("rep <> hub").distinct(), "rep", "hub"))
 
-    count = cluster.groupBy("component").count()
-    sized = cluster.join(count, "component")
-    narrow = sized.filter(F.col("count") <= wide).select(F.col("node").alias("rep"), F.col("component").alias("unit"), F.lit(0).alias("kind"))
-    chained = sized.filter(F.col("count") > wide).select(F.col("node").alias("rep"))
-    by_key = members.select("rep", "key").join(chained, "rep", "left_semi").select("rep", F.col("key").alias("unit"), F.lit(1).alias("kind"))
-    units = narrow.unionByName(by_key)
-    parts = units.groupBy("unit", "kind").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    dealt = units.join(parts, ["unit", "kind"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    # only units of more than one block are looked up; all others are one block
+    large = cut(cluster.groupBy("component").count().filter(F.col("count") > block))
+    sized = cluster.join(small(large), "component", "left").withColumn("count", F.coalesce("count", F.lit(1)))
+    blocks = F.ceil(F.col("count") / block).cast("int").alias("parts")
+    units = sized.filter(F.col("count") <= wide).select(F.col("node").alias("rep"), F.col("component").alias("unit"), F.lit(0).alias("kind"), blocks)
+    if large.filter(F.col("count") > wide).limit(1).count():
+        chained = sized.filter(F.col("count") > wide).select(F.col("node").alias("rep"))
+        by_key = cut(members.select("rep", "key").join(chained, "rep", "left_semi"))
+        many = cut(by_key.groupBy("key").count().filter(F.col("count") > block))
+        by_key = by_key.join(small(many), "key", "left").withColumn("count", F.coalesce("count", F.lit(1)))
+        units = units.unionByName(by_key.select("rep", F.col("key").alias("unit"), F.lit(1).alias("kind"), blocks))
+    dealt = cut(units.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")))
     wanted = cluster.select(F.col("node").alias("doc_id"))
-    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(t), "rep long, items binary, bins binary").filter("length(items) > 0")
+    sets = texts.join(small(wanted), "doc_id", "left_semi").mapInArrow(_full_sets(t), "rep long, items binary, bins binary").filter("length(items) > 0")
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j")))
-    tasks = dealt.join(sets, "rep").select("unit", "kind", "part", "rep", "items", "bins", F.explode(pairs).alias("at"))
+    tasks = sets.join(small(dealt), "rep").select("unit", "kind", "part", "rep", "items", "bins", F.explode(pairs).alias("at"))
     tasks = tasks.select("unit", "kind", "at.i", "at.j", "part", "rep", "items", "bins")
     links = tasks.groupBy("unit", "kind", "i", "j").applyInPandas(_links(t, floor, percent), "a long, b long")
     classes = components(cut(links))
