@@ -82,6 +82,11 @@ def entities(payloads: DataFrame, confidence: float) -> DataFrame:
     return x.filter(F.col("score") >= confidence)
 
 
+def skip_short(subject: DataFrame, shortest: int = 10) -> DataFrame:
+    """Subjects with a payload column: texts under ``shortest`` characters have the empty result without a call, all others null."""
+    return subject.withColumn("payload", F.when(F.length(F.coalesce("input", F.lit(""))) < shortest, F.lit('{"Resources":[]}')))
+
+
 def entity_properties(mentions: DataFrame, facts: DataFrame, wanted: list[str]) -> DataFrame:
     """(uri, property, values) of the mentioned entities from facts (entity, property, value, kind), no blank nodes, each value once."""
     uris = mentions.select(F.col("uri").alias("entity")).distinct()

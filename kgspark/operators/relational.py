@@ -18,6 +18,11 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], keep: Sequence[s
     return untouched.unionByName(fresh)
 
 
+def with_extraction(observations: DataFrame, extractions: DataFrame) -> DataFrame:
+    """Every observation with the content of its document's successful extraction, null without one; extractions is (document_key, status, content)."""
+    return observations.join(extractions.filter("status = 'success'").select("document_key", "content"), "document_key", "left")
+
+
 def deactivate_missing(table: DataFrame, sources: DataFrame, run_id: str) -> DataFrame:
     """Rows of the installed ``sources`` (source_name) that this run didn't see become inactive."""
     flag = sources.select("source_name").distinct().withColumn("_installed", F.lit(True))

@@ -121,7 +121,7 @@ class ResultCache:
 
     @staticmethod
     def key(namespace: str, query: str, parameters: dict) -> str:
-        return f"{namespace}:{query}:{hashlib.sha256(json.dumps(parameters, sort_keys=True, default=str).encode()).hexdigest()[:16]}"
+        return f"{namespace}:{query}:{hashlib.sha256(json.dumps(parameters, sort_keys=True, separators=(",", ":"), default=str).encode()).hexdigest()[:16]}"
 
     def get(self, namespace: str, query: str, parameters: dict, compute: Callable[[], list], use_cache: bool = True) -> list:
         key, generation = self.key(namespace, query, parameters), self.generation

@@ -41,6 +41,11 @@ def sample_claims(q: DataFrame) -> DataFrame:
     return sparql(q, SAMPLE)
 
 
+def sample_organizations(q: DataFrame) -> DataFrame:
+    """Reviews with their author's name, over all graphs together: the names lie in the organizations' own graph."""
+    return sparql(q, f"SELECT ?review ?author ?name WHERE {{ ?review a <{SCHEMA}ClaimReview> . ?review <{SCHEMA}author> ?author . ?author <{SCHEMA}name> ?name . }}")
+
+
 def enrichment_coverage(q: DataFrame) -> DataFrame:
     """Flags for each claim by conditional aggregation: one pass, where a chain of OPTIONALs would multiply rows."""
     flag = lambda *ps: F.max(F.col("p").isin(*ps).cast("int"))

@@ -188,3 +188,4 @@ _on(V.quads, "kg_graph_stats_typed", G.graph_stats_typed, _Q + f"SELECT graph, c
 _on(V.quads, "kg_sample_claims", G.sample_claims, _Q + f"SELECT r.s AS review, t.o AS text, v.o AS value FROM {_ONE} r JOIN {_ONE} i ON i.s = r.s AND i.p = '{V.SCHEMA}itemReviewed' JOIN {_ONE} x ON x.s = r.s AND x.p = '{V.SCHEMA}reviewRating' JOIN {_ONE} t ON t.s = i.o AND t.p = '{V.SCHEMA}text' JOIN {_ONE} v ON v.s = x.o AND v.p = '{V.SCHEMA}ratingValue' WHERE r.{_TYPE} AND r.o = '{V.SCHEMA}ClaimReview'")
 
 from . import domain_queries  # noqa: E402, F401  it adds its queries to the two tables above
+from . import projection_queries  # noqa: E402, F401
