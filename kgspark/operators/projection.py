@@ -14,7 +14,8 @@ from ..functions.text import digest, label_segment
 from ..functions.urls import sanitize_url
 from .rdf import _quad
 
-_NO_TEXTS = F.array().cast("array<string>")
+def _no_texts() -> Column:
+    return F.array().cast("array<string>")
 
 
 def grouped(records: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def gathered(records: DataFrame, *keys: str) -> DataFrame:
     """(keys, keywords, authors): sorted distinct keywords, and authors in the order of their first record."""
     order = F.struct("source_name", "record_key", "authors")
     each = records.groupBy(*keys).agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.coalesce("keywords", _NO_TEXTS))))).alias("keywords"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.coalesce("keywords", _no_texts()))))).alias("keywords"),
         F.array_sort(F.collect_list(order)).alias("_ordered"),
     )
     return each.select(*keys, "keywords", F.array_distinct(F.flatten(F.filter(F.transform("_ordered", lambda r: r["authors"]), lambda a: a.isNotNull()))).alias("authors"))
@@ -98,7 +99,7 @@ def record_quads(records: DataFrame, part: str | None = None) -> DataFrame:
             _quad(graph, node, f"{SCHEMA}jobTitle", a["role"], "literal", when=known & _present(a["role"])), _quad(graph, node, f"{SCHEMA}sameAs", a["source_uri"], "url", when=known & _present(a["source_uri"])),
         )
 
-    each = lambda s, p, name, kind: F.transform(F.coalesce(c(name), _NO_TEXTS), lambda v: _quad(graph, s, f"{SCHEMA}{p}", v, kind, when=_present(v)))
+    each = lambda s, p, name, kind: F.transform(F.coalesce(c(name), _no_texts()), lambda v: _quad(graph, s, f"{SCHEMA}{p}", v, kind, when=_present(v)))
     parts = {
         "review": F.array(
             _quad(graph, review, RDF_TYPE, f"{SCHEMA}ClaimReview"), _quad(graph, review, f"{SCHEMA}itemReviewed", claim), _quad(graph, review, f"{SCHEMA}author", org),
@@ -119,7 +120,8 @@ def record_quads(records: DataFrame, part: str | None = None) -> DataFrame:
         "claim": F.concat(F.array(_quad(graph, claim, RDF_TYPE, f"{SCHEMA}Claim"), _quad(graph, claim, f"{SCHEMA}text", c("claim_text"), "literal"), text(claim, "headline", "headline")), each(claim, "appearance", "appearances", "url")),
     }
     wanted = {part: parts[part]} if part else parts
-    tagged = [F.transform(q, lambda x, n=name: F.when(x.isNotNull(), F.struct(F.lit(n).alias("part"), x.alias("q")))) for name, q in wanted.items()]
+    tag = lambda name: lambda x: F.when(x.isNotNull(), F.struct(F.lit(name).alias("part"), x.alias("q")))
+    tagged = [F.transform(q, tag(name)) for name, q in wanted.items()]
     x = records.select(F.explode(F.concat(*tagged)).alias("t")).filter("t is not null").select("t.part", "t.q.*").distinct()
     given = F.col("o_kind").isin("url", "url_or_text")
     x = x.withColumn("_safe", sanitize_url(F.when(given, F.col("o"))))
@@ -141,13 +143,13 @@ def factor_values(payloads: DataFrame) -> DataFrame:
     kind = F.coalesce(*[F.when(F.col("model") == m, k) for m, k in FACTOR_KINDS.items()])
     is_text = lambda x: F.schema_of_variant(x) == "STRING"
     texts = lambda x: F.transform(F.filter(F.coalesce(F.when(F.schema_of_variant(x).startswith("ARRAY"), F.try_variant_get(x, "$", "array<variant>")), F.array().cast("array<variant>")), is_text), lambda y: F.variant_get(y, "$", "string"))
-    one = F.when(is_text(v), F.array(F.try_variant_get(v, "$", "string"))).otherwise(_NO_TEXTS)
+    one = F.when(is_text(v), F.array(F.try_variant_get(v, "$", "string"))).otherwise(_no_texts())
     name = F.when(is_text(v), F.lower(F.trim(F.try_variant_get(v, "$", "string"))))
     flag = F.when(F.schema_of_variant(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean")).when(name.isin("true", "false"), name == "true")
     null = v.isNull() | F.is_variant_null(v)
-    side = lambda s: F.when(kind == "two_lists", texts(F.try_variant_get(v, f"$.{s}", "variant"))).otherwise(_NO_TEXTS)
+    side = lambda s: F.when(kind == "two_lists", texts(F.try_variant_get(v, f"$.{s}", "variant"))).otherwise(_no_texts())
     return payloads.select(
-        "subject_key", "model", F.when(kind == "text", one).when(kind == "list", texts(v)).otherwise(_NO_TEXTS).alias("texts"),
+        "subject_key", "model", F.when(kind == "text", one).when(kind == "list", texts(v)).otherwise(_no_texts()).alias("texts"),
         side("mentioned").alias("mentioned"), side("promoted").alias("promoted"), F.when(kind == "flag", flag).alias("flag"),
         F.coalesce((kind == "flag") & ~null & flag.isNull(), F.lit(False)).alias("failed"),
     )

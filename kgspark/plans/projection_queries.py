@@ -13,12 +13,11 @@ from .domain_queries import _BAD, _FIRST, _W, _first, _subjects
 from .registry import _O, _Q, _R, _add, _docs, _on, _resolved
 
 # --- records: identified observations with what a source may say of them ------------------------------------------------
-_N = F.col("doc_id")
 _AUTHOR = "array<struct<name:string,website:string,role:string,source_uri:string>>"
 
 
 def _records(spark, sf_dir):
-    mod = lambda n: _N % n
+    mod = lambda n: F.col("doc_id") % n
     text = lambda prefix, n: F.concat(F.lit(prefix), mod(n))
     rated = mod(2) == 0
     author = F.struct(
@@ -31,7 +30,7 @@ def _records(spark, sf_dir):
         "license_url": F.when(mod(3) == 0, "https://creativecommons.org/licenses/by/4.0/").when(mod(3) == 1, "CC BY"),
         "date_published": F.when(rated, F.concat(F.lit("2024-01-0"), mod(9) + 1)), "language": F.col("lang"), "review_text": F.when(mod(2) == 1, text("body ", 50)),
         "rating_value": F.when(rated, mod(5).cast("double")), "best_rating": F.when(rated, F.lit(5.0)), "worst_rating": F.when(rated, F.lit(1.0)),
-        "explanation": F.when(mod(7) == 0, "because"), "headline": F.when(mod(3) > 0, text("H", 3)), "appearances": F.array(F.concat(F.lit("https://a.example.org/"), _N), F.lit("ftp://no")),
+        "explanation": F.when(mod(7) == 0, "because"), "headline": F.when(mod(3) > 0, text("H", 3)), "appearances": F.array(F.concat(F.lit("https://a.example.org/"), F.col("doc_id")), F.lit("ftp://no")),
         "urls": F.array("observed_url"), "original_label": F.col("label"),
     })
 
@@ -112,7 +111,7 @@ def _quads_of(part: str) -> None:
 
 for _part in _PARTS:
     _quads_of(_part)
-_on(_records, "export_errors", lambda r: projection.export_errors(r.withColumns({"claim_text": F.when(_N % 4 > 0, F.col("claim_text")), "organization_uri": F.when(_N % 6 > 0, F.col("organization_uri"))})), _RECORDS + f"SELECT {_G} AS graph, count(*) AS failed, arg_min(CASE WHEN doc_id % 4 = 0 THEN 'no claim text' ELSE 'no organization' END, record_key) AS first_error FROM records WHERE doc_id % 4 = 0 OR doc_id % 6 = 0 GROUP BY 1")
+_on(_records, "export_errors", lambda r: projection.export_errors(r.withColumns({"claim_text": F.when(F.col("doc_id") % 4 > 0, F.col("claim_text")), "organization_uri": F.when(F.col("doc_id") % 6 > 0, F.col("organization_uri"))})), _RECORDS + f"SELECT {_G} AS graph, count(*) AS failed, arg_min(CASE WHEN doc_id % 4 = 0 THEN 'no claim text' ELSE 'no organization' END, record_key) AS first_error FROM records WHERE doc_id % 4 = 0 OR doc_id % 6 = 0 GROUP BY 1")
 _MENTIONS = f"graph = '{V.ENTITY_GRAPH}' AND p = '{V.SCHEMA}mentions'"
 _on(V.quads, "quads_mentions", lambda q: q.filter(F.col("graph") == V.ENTITY_GRAPH).filter(F.col("p") == f"{V.SCHEMA}mentions").select("s", "o"), _Q + f"SELECT s, o FROM quads WHERE {_MENTIONS}")
 
@@ -127,14 +126,14 @@ def _sample_orgs(spark, sf_dir):
 # --- factors ------------------------------------------------------------------------------------------------------------------
 def _payloads(spark, sf_dir):
     """One payload a document and model, some of the wrong type."""
-    k, models = _N % 6, list(projection.FACTOR_KINDS)
+    k, models = F.col("doc_id") % 6, list(projection.FACTOR_KINDS)
     value = (
         F.when(F.col("model") == "climate_related", F.get(F.array(*map(F.lit, ["true", '" False "', "null", "1", '"maybe"', "false"])), k.cast("int")))
         .when(F.col("model") == "conspiracies", F.concat(F.lit('{"mentioned":["M '), k, F.lit('",3],"promoted":'), F.when(k == 0, '"x"').otherwise('["P"]'), F.lit("}")))
         .when(F.col("model").isin("tropes", "persuasion_techniques"), F.when(k == 1, '"no list"').otherwise(F.concat(F.lit('["T '), k, F.lit('","",null]'))))
         .otherwise(F.when(k == 2, '"None"').when(k == 3, "null").when(k == 4, "[1]").otherwise(F.concat(F.lit('"V '), k, F.lit('"'))))
     )
-    each = _docs(spark, sf_dir).select("doc_id", F.concat(F.lit("claim/"), _N % 50).alias("subject_key"), F.explode(F.array(*map(F.lit, models))).alias("model"))
+    each = _docs(spark, sf_dir).select("doc_id", F.concat(F.lit("claim/"), F.col("doc_id") % 50).alias("subject_key"), F.explode(F.array(*map(F.lit, models))).alias("model"))
     return each.select("doc_id", "subject_key", "model", F.concat(F.lit('{"value":'), value, F.lit("}")).alias("payload"))
 
 
@@ -160,7 +159,7 @@ _FACTOR_ROWS = [(p, segment, "texts", f"model = '{name}' AND texts <> '' AND NOT
 def _quads_factors(spark, sf_dir):
     # a subject is one document here, so that each has its own source
     p = _payloads(spark, sf_dir).withColumn("subject_key", F.concat("subject_key", F.lit("#"), "doc_id"))
-    graphs = _docs(spark, sf_dir).select(F.concat(F.lit("claim/"), _N % 50, F.lit("#"), "doc_id").alias("subject_key"), F.col("source").alias("source_name"))
+    graphs = _docs(spark, sf_dir).select(F.concat(F.lit("claim/"), F.col("doc_id") % 50, F.lit("#"), "doc_id").alias("subject_key"), F.col("source").alias("source_name"))
     q = projection.factor_quads(projection.factor_values(p), graphs)
     return q.withColumn("s", F.substring_index("s", "#", 1)).distinct()
 
@@ -186,7 +185,7 @@ _on(_catalog_triples, "org_catalog_errors", lambda t: catalog.organization_catal
 @_add("defacto_normalize", f"SELECT CAST(doc_id AS VARCHAR) AS native_id, {_FIRST} AS claim_text, 'https://w.org/p/' || doc_id AS observed_url, 'https://' || lang || '.org' AS organization_site, 'bold ' || source AS review_text, '2024-03-05' AS date_published, 'not_a_url' AS none FROM documents WHERE NOT {_BAD} AND doc_id % 5 <> 0")
 def _wiki(spark, sf_dir):
     items = _docs(spark, sf_dir).select(
-        F.col("doc_id").cast("string").alias("id"), F.when(_N % 2 == 0, " ").otherwise(_first()).alias("title"), _first().alias("rawTitle"), F.when(_N % 5 == 0, "/relative").otherwise(F.concat(F.lit("https://w.org/p/"), "doc_id")).alias("absoluteUrl"),
+        F.col("doc_id").cast("string").alias("id"), F.when(F.col("doc_id") % 2 == 0, " ").otherwise(_first()).alias("title"), _first().alias("rawTitle"), F.when(F.col("doc_id") % 5 == 0, "/relative").otherwise(F.concat(F.lit("https://w.org/p/"), "doc_id")).alias("absoluteUrl"),
         F.concat(F.lit("**bold** "), "source").alias("content"), F.lit("2024-03-05T10:00:00Z").alias("created"), F.col("lang").alias("language"), F.concat(F.lit("https://www."), "lang", F.lit(".org/x")).alias("organization_url"),
     )
     x = formats.wiki_pages(spark, items, "wiki").filter(F.size("errors") == 0)
@@ -213,11 +212,39 @@ def _crd_normalize(spark, sf_dir):
     return x.select("observed_url", "discriminator", "claim_text", "original_label", "date_published", "language")
 
 
+def _turtle(spark, sf_dir, body):
+    """One Turtle text a document."""
+    quoted = F.concat(F.lit('"'), F.replace(F.replace(T.collapse(_first()), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    head = F.lit("@prefix s: <https://schema.org/> .\n")
+    return _docs(spark, sf_dir).select(F.concat(F.lit("f"), "doc_id").alias("file"), F.concat(head, body(quoted)).alias("value"))
+
+
+_TURTLE_CLAIM = f"SELECT *, {_FIRST} AS claim FROM documents WHERE NOT {_BAD}"
+
+
+@_add("desmog_normalize", f"SELECT 'https://t.org/c/' || doc_id AS native_id, claim AS claim_text, 'https://t.org/p/' || doc_id AS observed_url, 'https://' || lang || '.org' AS organization_site, lang AS language, 'https://a.org/1' AS appearances FROM ({_TURTLE_CLAIM}) WHERE doc_id % 3 <> 0 AND len(regexp_extract_all(claim, '[\\p{{L}}\\p{{N}}_]+')) >= 2 AND length(regexp_replace(claim, '[^\\p{{L}}\\p{{N}}]', '', 'g')) >= 4")
+def _turtle_claims(spark, sf_dir):
+    node = F.concat(F.lit("<https://t.org/c/"), "doc_id", F.lit("> a s:Claim ; s:abstract "))
+    publisher = F.when(F.col("doc_id") % 3 == 0, F.lit('"no IRI"')).otherwise(F.concat(F.lit("<https://www."), "lang", F.lit(".org/x>")))
+    texts = _turtle(spark, sf_dir, lambda claim: F.concat(node, claim, F.lit(" ; s:url <https://t.org/p/"), "doc_id", F.lit("> ; s:archivedAt <https://a.org/1> ; s:publisher "), publisher, F.lit(' ; s:inLanguage "'), "lang", F.lit('" .')))
+    x = formats.turtle_claims(spark, texts, "claims").filter(F.size("errors") == 0)
+    return x.select("native_id", "claim_text", "observed_url", "organization_site", "language", F.array_join("appearances", " ").alias("appearances"))
+
+
+@_add("climafacts_normalize", f"SELECT 'https://t.org/r/' || doc_id AS native_id, claim AS claim_text, 'https://t.org/p/' || doc_id AS observed_url, 'https://' || lang || '.org' AS organization_site, CASE WHEN doc_id % 2 = 0 THEN 'not_credible' END AS label, '2024-03-05' AS date_published FROM ({_TURTLE_CLAIM}) WHERE doc_id % 5 <> 0")
+def _turtle_reviews(spark, sf_dir):
+    node = F.concat(F.lit("<https://t.org/r/"), "doc_id", F.when(F.col("doc_id") % 5 == 0, "> a s:ClaimReview , s:Claim").otherwise("> a s:ClaimReview"), F.lit(" ; s:claimReviewed _:c ; s:publisher _:o ; s:reviewRating _:v ; s:dateCreated \"2024-03-05\" ; s:url <https://t.org/p/"), "doc_id", F.lit("> .\n_:c s:text \"falsch\"@de , "))
+    rest = F.concat(F.lit("@en .\n_:o s:url <https://www."), "lang", F.lit(".org/> .\n_:v s:name \""), F.when(F.col("doc_id") % 2 == 0, "False").otherwise("other"), F.lit('" .'))
+    texts = _turtle(spark, sf_dir, lambda claim: F.concat(node, F.when(claim == '""', F.lit('" "')).otherwise(claim), rest))
+    x = formats.turtle_reviews(spark, texts, "reviews").filter(F.size("errors") == 0).filter(F.col("claim_text") != "falsch")
+    return x.select("native_id", "claim_text", "observed_url", "organization_site", "label", "date_published")
+
+
 # --- relational -------------------------------------------------------------------------------------------------------------------
 @_add("obs_with_extraction", _O + "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'content ' || doc_id END AS content FROM observations")
 def _obs_with_extraction(spark, sf_dir):
     o = V.observations(spark, sf_dir)
-    done = o.filter("doc_id % 2 = 0").select("document_key", F.when(_N % 4 == 0, "success").otherwise("retryable_failure").alias("status"), F.concat(F.lit("content "), "doc_id").alias("content"))
+    done = o.filter("doc_id % 2 = 0").select("document_key", F.when(F.col("doc_id") % 4 == 0, "success").otherwise("retryable_failure").alias("status"), F.concat(F.lit("content "), "doc_id").alias("content"))
     return relational.with_extraction(o, done).select("doc_id", "content")
 
 

@@ -144,7 +144,7 @@ def turtle_claims(spark: SparkSession, path: str, source_name: str, schema: str
     claims = t.filter((F.col("p") == RDF + "type") & (F.col("o") == schema + "Claim") & ~F.col("s").startswith("_:")).select("s").distinct()
     pick = lambda name, kind=None: F.min(F.when((F.col("p") == schema + name) & (F.lit(True) if kind is None else F.col("o_kind") == kind), F.struct("pos", "o")))["o"]
     x = t.join(claims, "s").groupBy("s").agg(pick("abstract").alias("abstract"), pick("url").alias("url"), pick("publisher", "iri").alias("publisher"), pick("inLanguage").alias("lang"), pick("description").alias("description"), F.collect_set(F.when(F.col("p") == schema + "archivedAt", F.col("o"))).alias("archived"))
-    words, letters = F.size(F.regexp_extract_all("abstract", F.lit(r"(\w+)"), F.lit(1))), F.length(F.regexp_replace("abstract", r"[^\p{L}\p{N}]", ""))
+    words, letters = F.size(F.regexp_extract_all("abstract", F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))), F.length(F.regexp_replace("abstract", r"[^\p{L}\p{N}]", ""))
     rules = _errors(abstract=blank(F.col("abstract")), url=blank(F.col("url")), publisher=blank(F.col("publisher")), fragment=(words < 2) | (letters < 4))
     return _observations(x.withColumn("errors", rules), source_name, "turtle_claims", native_id=F.col("s"), claim_text=F.col("abstract"), observed_url=F.col("url"), organization_site=F.col("publisher"), review_text=F.col("description"), language=F.col("lang"), appearances=F.array_sort("archived"), errors=F.col("errors"))
 

@@ -7,6 +7,7 @@ import hashlib
 import io
 import json
 import os
+import re
 import time
 import zipfile
 from collections.abc import Callable, Iterator
@@ -19,6 +20,18 @@ class SourceError(RuntimeError):
     """A source that can't be fetched or is over its limits."""
 
 
+#: Bytes of each unit of a size given as text.
+UNITS = {"TB": 1 << 40, "GB": 1 << 30, "MB": 1 << 20, "KB": 1 << 10, "B": 1, "": 1}
+
+
+def size_in_bytes(text: str | None, default: int = 10 << 20) -> int:
+    """Bytes of a size such as ``50KB`` or ``1.5 GB``; a bare number is bytes, and ``default`` stands for what is no size."""
+    found = re.fullmatch(r"\s*([+-]?(?:\d+\.?\d*|\.\d+))\s*([KMGT]?B|)\s*", text or "", re.IGNORECASE)
+    if not found or (not found[2] and "." in found[1]):
+        return default
+    return int(float(found[1]) * UNITS[found[2].upper()])
+
+
 def file_provider(config: dict) -> bytes:
     path = Path(config["path"])
     if not path.is_file():

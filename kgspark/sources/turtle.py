@@ -130,8 +130,8 @@ class TurtleParser:
         return self.triples
 
 
-def read_turtle(spark: SparkSession, path: str) -> DataFrame:
-    """(file, pos, s, p, o, o_kind, o_datatype, o_lang) of Turtle files; blank nodes are named within their file."""
+def read_turtle(spark: SparkSession, path: str | DataFrame) -> DataFrame:
+    """(file, pos, s, p, o, o_kind, o_datatype, o_lang) of Turtle files; blank nodes are named within their file.  A table (file, value) of whole texts is taken as it is."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -140,5 +140,5 @@ def read_turtle(spark: SparkSession, path: str) -> DataFrame:
                 name = lambda x: f"{x}@{file}" if x.startswith("_:") else x  # noqa: B023, E731
                 yield pd.DataFrame([(file, k, name(s), p, name(o) if kind == "bnode" else o, kind, dt, lang) for k, (s, p, o, kind, dt, lang) in enumerate(rows)], columns=["file", "pos", "s", "p", "o", "o_kind", "o_datatype", "o_lang"])
 
-    files = spark.read.text(path, wholetext=True).selectExpr("_metadata.file_path as file", "value")
+    files = path.select("file", "value") if isinstance(path, DataFrame) else spark.read.text(path, wholetext=True).selectExpr("_metadata.file_path as file", "value")
     return files.mapInPandas(run, "file string, pos int, s string, p string, o string, o_kind string, o_datatype string, o_lang string")
