@@ -34,8 +34,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many sites share."""
-    clean = line_dedup.dedup_lines(docs)
+    """All documents, without the lines that many sites share in different texts; copies are left to the next stage."""
+    clean = line_dedup.dedup_lines(docs, many_texts_only=True)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -14,6 +14,11 @@ A line is what lies between line feeds, without the blanks at its ends; lines un
    most ``max_broadcast`` of them (16 bytes each); beyond that they meet the rows' lines in
    a join.
 
+``many_texts_only`` asks more of a boilerplate line: it must also occur in ``min_sites``
+classes of near-equal texts (as in near_dup, among the rows that carry such a line), so
+that a text copied to many sites keeps its lines and is left to a later near-dedup.  Where
+texts of one class differ in lines of their own, the lines they share stay too.
+
 Defined results: text null stays null with lines_total 0 and lines_removed 0; an
 empty text has one empty line, which stays.  Site null counts as no site.  Rows that
 repeat an id, and null ids, are treated one by one.  A text may lose all its lines
@@ -31,7 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import cut
+from .common import cut, small
+from .near_dup import near_duplicates
 
 MIN_SITES, MIN_CHARS, LG_K, MARGIN, MAX_BROADCAST, ROWS = 5, 20, 12, 0.2, 500_000, 500
 BLANK = " \t\n\x0b\x0c\r"
@@ -63,6 +69,16 @@ def boilerplate_lines(docs: DataFrame, site: str = "source", text: str = "text",
     return cut(sure.unionByName(exact.select("h1", "h2")))
 
 
+def lines_of_many_texts(docs: DataFrame, lines: DataFrame, site: str = "source", text: str = "text", *, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, **options) -> DataFrame:
+    """Those of ``lines`` that occur in at least ``min_sites`` classes of near-equal texts, among rows with a site."""
+    both = docs.filter(F.col(site).isNotNull()).select(F.col(text).alias("text"), F.col(text).alias("whole"))
+    carry = remove_lines(both, lines, min_chars=min_chars).filter("lines_removed > 0")
+    rows = cut(carry.select(F.monotonically_increasing_id().alias("row"), "whole"))
+    classes = near_duplicates(rows, "row", "whole").select(F.col("doc_id").alias("row"), F.col("component_id").alias("class"))
+    found = boilerplate_lines(cut(rows.join(classes, "row")), "class", "whole", min_sites=min_sites, min_chars=min_chars, **options)
+    return cut(found.join(small(lines), ["h1", "h2"], "left_semi"))
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -120,10 +136,14 @@ def _remove_by_join(docs: DataFrame, lines: DataFrame, text: str, min_chars: int
     return joined.select(*[clean.alias(c) if c == text else F.col(f"`{c}`") for c in names], total.alias("lines_total"), some.alias("lines_removed"))
 
 
-def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", **options) -> DataFrame:
+def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", *, many_texts_only: bool = False, **options) -> DataFrame:
     """``docs`` without the lines that are boilerplate within ``docs``, and the columns lines_total and lines_removed."""
     own = {k: v for k, v in options.items() if k in ("min_chars", "max_broadcast")}
-    return remove_lines(docs, boilerplate_lines(docs, site, text, **{k: v for k, v in options.items() if k != "max_broadcast"}), text, **own)
+    rule = {k: v for k, v in options.items() if k != "max_broadcast"}
+    lines = boilerplate_lines(docs, site, text, **rule)
+    if many_texts_only:
+        lines = lines_of_many_texts(docs, lines, site, text, **rule)
+    return remove_lines(docs, lines, text, **own)
 
 
 def oracle_sql(min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> str:

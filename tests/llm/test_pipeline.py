@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from kgspark.llm import near_dup, quality
 from kgspark.llm.common import cut
@@ -37,3 +39,23 @@ def test_stages_on_odd_and_empty_tables(spark, docs, odd_docs):
 def test_run(spark):
     assert corpus_pipeline.run(spark, DATA).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert near_dup.BANDS * near_dup.ROWS == 160
+
+
+def _prose(rng, lines=12):
+    return [" ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8))) for _ in range(9)) for _ in range(lines)]
+
+
+def test_copies_on_many_sites_leave_one_full_text(spark, docs):
+    rng = random.Random(4)
+    notice, exact, base = "this notice stands on every site", _prose(rng), _prose(rng)
+    near = []
+    for k in range(50):
+        words = [line.split() for line in base]
+        words[k % 12][k % 9] = f"edit{k}"
+        near.append("\n".join(map(" ".join, words)))
+    texts = ["\n".join(exact)] * 50 + near + ["\n".join([*_prose(rng), notice]) for _ in range(20)]
+    table = spark.createDataFrame([(k, t, "en", f"s{k % 20}", len(t)) for k, t in enumerate(texts)], docs.schema)
+    lines = corpus_pipeline.line_deduplication(spark, table, DATA)
+    assert {r.doc_id: r.text for r in lines.collect()} == {k: t.removesuffix("\n" + notice) for k, t in enumerate(texts)}
+    left = {r.doc_id: r.text for r in corpus_pipeline.near_duplicates(spark, cut(lines), DATA).collect()}
+    assert left == {k: texts[k].removesuffix("\n" + notice) for k in [0, 50, *range(100, 120)]}
