@@ -27,9 +27,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; a missing lang is filled in."""
-    model = lang_id.fit(*lang_id.training_rows(docs.select("doc_id", "text", "lang")))
-    found = lang_id.predict(docs, model).filter((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    """Documents in a known language, whose words are like those of its training texts; a missing lang is filled in."""
+    learned = lang_id.training_rows(docs.select("doc_id", "text", "lang"))
+    model = lang_id.fit(*learned)
+    found = lang_id.predict(docs, model, words=lang_id.vocabulary(*learned, model)).filter((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 

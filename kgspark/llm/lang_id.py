@@ -13,6 +13,13 @@ The training sample is bounded: at most ``per_lang`` documents of each of the ``
 most frequent languages, chosen by a hash of their id among all rows that may be learned
 from; with many languages each has fewer landmarks, ``LANDMARKS`` (or two each) in all.
 
+``predict`` may also be given a ``Vocabulary``: the triples of plain words that a language's
+training texts hold, and the least share of its triples that a text of the language must
+have in there.  That floor is two thirds of the share that all but a hundredth of the
+training texts reach, each judged by the other texts alone.  Words with digits don't
+count.  A text below the floor of its best language, or with no plain word, is in none of the
+known languages.  Where a language has a single text to learn from, its floor is 0.
+
 Defined results: text null or without a letter: ``und`` with score 0.  With no labelled
 row to learn from every text is ``und``.  Rows keep their number and their id,
 repeated or null ids too; null ids are never learned from.  An empty table gives an
@@ -35,6 +42,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 PER_LANG, LANDMARKS_PER_LANG, LANDMARKS, RIDGE, BITS, ROWS, MAX_LANGS, CHUNK = 300, 64, 256, 1e-3, 7, 64, 256, 1 << 20
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W_]+")
+FLOOR_SHARE, FLOOR_QUANTILE, MANY_TEXTS = 2 / 3, 0.01, 20
 
 
 @dataclass
@@ -113,6 +122,52 @@ def fit(texts: list[str], langs: list[str], landmarks_per_lang: int = LANDMARKS_
     return model
 
 
+def _word_triples(text: str, fold: np.ndarray) -> Iterator[np.ndarray]:
+    """Codes of the triples of a text's plain words, lower-cased and with a blank around each."""
+    plain = f" {' '.join(w for w in _WORD.findall(text.lower()) if w.isalpha())} "
+    for at in range(0, len(plain) if plain.strip() else 0, CHUNK):
+        c = fold[np.frombuffer(plain[at : at + CHUNK + 2].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        yield (((c[:-2] << BITS) | c[1:-1]) << BITS) | c[2:]
+
+
+@dataclass
+class Vocabulary:
+    fold: np.ndarray
+    known: dict[str, np.ndarray]  # for each language a bit for each triple
+    floor: dict[str, float]
+
+    def share(self, text: str, lang: str) -> float:
+        """The share of the text's triples that the language knows."""
+        bits, here, every = self.known[lang], 0, 0
+        for t in _word_triples(text, self.fold):
+            here += int(((bits[t >> 3] >> (7 - (t & 7))) & 1).sum())
+            every += len(t)
+        return here / every if every else -1.0
+
+    def holds(self, text: str, lang: str) -> bool:
+        return self.share(text, lang) >= self.floor[lang]
+
+
+def vocabulary(texts: list[str], langs: list[str], model: KernelModel | None) -> Vocabulary | None:
+    """What the training texts of each language hold; a triple counts if two of them do (one, if there are few)."""
+    if model is None:
+        return None
+    known, floor = {}, {}
+    for name in model.langs:
+        own = [t for t, x in zip(texts, langs) if x == name]
+        need = 2 if len(own) >= MANY_TEXTS else 1
+        count = np.zeros(1 << 3 * BITS, dtype=np.int32)
+        for t in own:
+            here = [np.unique(x) for x in _word_triples(t, model.fold)]
+            if here:
+                count[np.unique(np.concatenate(here))] += 1
+        known[name] = np.packbits(count >= need)
+        without = Vocabulary(model.fold, {name: np.packbits(count > need)}, {})  # a text's own triples counted once less
+        shares = [s for s in (without.share(t, name) for t in own) if s >= 0]
+        floor[name] = FLOOR_SHARE * float(np.quantile(shares, FLOOR_QUANTILE)) if shares else 0.0
+    return Vocabulary(model.fold, known, floor)
+
+
 def training_rows(rows: DataFrame, per_lang: int = PER_LANG) -> tuple[list[str], list[str]]:
     """Texts and languages of at most about ``per_lang`` rows a language out of rows (doc_id, text, lang), by a hash of doc_id."""
     rows = rows.filter("doc_id is not null and text is not null and lang is not null")
@@ -134,14 +189,17 @@ def training_rows(rows: DataFrame, per_lang: int = PER_LANG) -> tuple[list[str],
     return texts, langs
 
 
-def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns lang_pred and score (input columns of these names are replaced); score is the best regression's value, -1 to 1 drawn onto 0 to 1."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text", *, words: Vocabulary | None = None) -> DataFrame:
+    """``docs`` with the columns lang_pred and score (input columns of these names are replaced); score is the best regression's value, -1 to 1 drawn onto 0 to 1.
+
+    With ``words``, texts that its languages don't hold are ``und`` with score 0.
+    """
+    held = docs.sparkSession.sparkContext.broadcast((model, words))
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")])
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
+        m, v = held.value
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
@@ -151,8 +209,9 @@ def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text")
                 if known:
                     s = m.scores([texts[i] for i in known])
                     best = s.argmax(axis=1)
-                    for i, b, v in zip(known, best.tolist(), s[np.arange(len(known)), best].tolist()):
-                        langs[i], scores[i] = m.langs[b], min(1.0, max(0.0, (v + 1) / 2))
+                    for i, b, x in zip(known, best.tolist(), s[np.arange(len(known)), best].tolist()):
+                        if v is None or v.holds(texts[i], m.langs[b]):
+                            langs[i], scores[i] = m.langs[b], min(1.0, max(0.0, (x + 1) / 2))
                 yield pa.record_batch([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))

@@ -59,3 +59,22 @@ def test_copies_on_many_sites_leave_one_full_text(spark, docs):
     assert {r.doc_id: r.text for r in lines.collect()} == {k: t.removesuffix("\n" + notice) for k, t in enumerate(texts)}
     left = {r.doc_id: r.text for r in corpus_pipeline.near_duplicates(spark, cut(lines), DATA).collect()}
     assert left == {k: texts[k].removesuffix("\n" + notice) for k in [0, 50, *range(100, 120)]}
+
+
+def test_texts_in_no_known_language_go(spark, docs):
+    rng = random.Random(9)
+    latin = "abcdefghijklmnopqrstuvwxyz"
+    words = lambda letters, n=60, size=10: " ".join("".join(rng.choices(letters, k=rng.randint(2, size))) for _ in range(n))
+    planted = [words(latin) for _ in range(20)] + [words(latin, 12) for _ in range(20)]
+    planted += [words("абвгдежзийклмнопрстуфхцчшщыьэюя") for _ in range(5)] + [words([chr(0x4E00 + k) for k in range(900)]) for _ in range(5)]
+    planted += [" ".join("".join(rng.choices("0123456789abcdef", k=32)) for _ in range(20)) for _ in range(5)]
+    planted += [" ".join("".join(rng.choices(latin + latin.upper() + "0123456789+/", k=76)) for _ in range(10)) for _ in range(10)]
+    planted += [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    ]
+    extra = spark.createDataFrame([(10**6 + k, t, None, "s", len(t)) for k, t in enumerate(planted)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(extra), DATA).collect()}
+    assert not {i for i in kept if i >= 10**6}
+    wordy = {r.doc_id for r in docs.collect() if len((r.text or "").split()) >= 10}
+    assert len(wordy & kept) >= 0.995 * len(wordy)
