@@ -78,3 +78,12 @@ def test_texts_in_no_known_language_go(spark, docs):
     assert not {i for i in kept if i >= 10**6}
     wordy = {r.doc_id for r in docs.collect() if len((r.text or "").split()) >= 10}
     assert len(wordy & kept) >= 0.995 * len(wordy)
+
+
+def test_a_repeated_id_with_another_text_loses_nothing(spark, docs):
+    rng = random.Random(6)
+    a, b, c = (" ".join(_prose(rng)) for _ in range(3))
+    rows = [(3, a), (7, a + " end"), (7, b), (9, b), (9, b), (7, c), (8, c + " end"), (5, ""), (5, "")]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs.schema)
+    left = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, table, DATA).collect())
+    assert left == sorted([(3, a), (7, b), (7, c), (5, "")])
