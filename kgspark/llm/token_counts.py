@@ -91,7 +91,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "d
     """(doc_id, n_bytes, n_tokens, over_limit) of every row; ``path`` is a ``.model`` or a ``.json`` file."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     common = frequent_parts(texts.select("text"), path, frequent)
-    table = docs.sparkSession.sparkContext.broadcast(("\0".join(common), bytes(0) if not common else _packed(_rule(path).lengths(common))))
+    table = docs.sparkSession.sparkContext.broadcast((common, bytes(0) if not common else _packed(_rule(path).lengths(common))))
     stamp = hash((path, len(common), *common[:64]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +100,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "d
         rule, first = _rule(path), _TIERS.get((path, stamp))
         if first is None:
             parts, sizes = table.value
-            first = _TIERS[path, stamp] = dict(zip(parts.split("\0") if parts else [], memoryview(sizes).cast("I"))) | {"": 0}
+            first = _TIERS[path, stamp] = dict(zip(parts, memoryview(sizes).cast("I"), strict=True)) | {"": 0}
         known = _TIERS.setdefault((path, 0), dict(first))
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):

@@ -85,6 +85,16 @@ def test_op5_counts(odd_docs, no_docs, docs, path, library):
     assert token_counts.count_tokens(no_docs, path).count() == 0
 
 
+@pytest.mark.parametrize("path", [PIECE, WORD])
+def test_op5_parts_with_nul_shift_no_length(spark, odd_docs, path, library):
+    tok = Tokenizer.from_file(WORD)
+    size = (lambda t: len(library.encode(t))) if path == PIECE else (lambda t: len(tok.encode(t, add_special_tokens=False).ids))
+    rows = [(k, f"\0x\0\0y{k % 3} plain words antidisestablishmentarianism a b {k} " * 3) for k in range(30)] + [(100, "plain words a b"), (101, " "), (102, "\0")]
+    for table in (spark.createDataFrame(rows, "doc_id long, text string"), odd_docs):
+        got = sorted((r.doc_id or -1, r.n_tokens) for r in token_counts.count_tokens(table, path).collect())
+        assert got == sorted((r.doc_id or -1, size(r.text or "")) for r in table.collect())
+
+
 def _check_packing(rows, texts, tok, capacity=2048):
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in rows:
