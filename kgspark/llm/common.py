@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (as in local tests) a folder of our own is set.
+    Only a local session that names none (as in tests) gets a folder of our own; on a cluster that is an error.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not conf and current.isDefined():
+        return current.get()
     if not conf:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         conf = f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+    if not current.isDefined():
         spark.sparkContext.setCheckpointDir(conf)
     return conf
 
@@ -32,7 +34,23 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    copy.cut_path = path
+    return copy
+
+
+def discard(*copies: DataFrame) -> None:
+    """Delete copies that ``cut`` made and that nothing will read again."""
+    for c in copies:
+        if getattr(c, "cut_path", None):
+            spark = c.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(c.cut_path)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def positional(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ...: input names may hold dots, clash with each other or with an operator's own."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
 
 
 def small(df: DataFrame, rows: int = 200_000) -> DataFrame:
@@ -53,13 +71,17 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     both = cut(pairs.union(pairs.select("b", "a")).distinct())
     label = cut(both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")))
     seed = 0
-    while both.count():
+    while both.limit(1).count():
         seed += 1
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(seed)).alias("r"), F.col(c).alias("v"))  # noqa: B023, E731
         to = both.groupBy("a").agg(F.min(rank("b")).alias("m")).select("a", F.least(rank("a"), "m")["v"].alias("to"))
         to = cut(to)
+        old = label, both, to
         label = cut(label.join(small(to), label["label"] == to["a"], "left").select("node", F.coalesce("to", "label").alias("label")))
         other = to.select(F.col("a").alias("b"), F.col("to").alias("to_b"))
         both = cut(both.join(to, "a").join(other, "b").select(F.col("to").alias("a"), F.col("to_b").alias("b")).filter("a <> b").distinct())
-    least = cut(label.groupBy("label").agg(F.min("node").alias("component")))
-    return label.join(small(least), "label").select("node", "component")
+        discard(*old)
+    least = label.groupBy("label").agg(F.min("node").alias("component"))
+    found = cut(label.join(small(cut(least)), "label").select("node", "component"))
+    discard(label, both)
+    return found
