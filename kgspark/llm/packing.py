@@ -2,10 +2,10 @@
 
 Documents become pieces: their ids and an end id, cut only when longer than the
 capacity.  The pieces are dealt at random into blocks of bounded size.  Each block is solved by
-several islands (own random seeds); after every epoch each island's elite migrates to
-the next island of the ring, and the best island's solution stands.  Pieces
-of bins that stayed poorly filled are pooled across blocks and packed again,
-until they fit one block, so that a block boundary costs no sequence.
+several islands (own random seeds and first people); after every epoch each island's elite
+migrates to the next island of the ring, and the best island's solution stands.  Pieces
+of bins that stayed poorly filled are pooled across blocks and packed again, as
+long as that saves a sequence, so that a block boundary costs none.
 
 Defined results: text null or empty: one piece that holds the end id.  Rows that
 repeat a doc_id, and null ids, keep their own pieces.  An empty table gives an
@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, discard
 from .gga import evolve
 from .word_bpe import encoder
 
-CAPACITY, BLOCK, ISLANDS, EPOCHS, WELL_FILLED, ROWS = 2048, 4096, 2, 2, 0.97, 256
+CAPACITY, BLOCK, ISLANDS, EPOCHS, WELL_FILLED, ROWS = 2048, 4096, 4, 2, 0.97, 256
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", *, with_ids: bool = False) -> DataFrame:
@@ -55,21 +55,21 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def _solution(block: int, island: int, rows: np.ndarray, sizes: list[int], bins: list[list[int]]) -> pd.DataFrame:
+def _solution(block: int, island: int, rows: np.ndarray, sizes: list[int], bins: list[list[int]], generations: int) -> pd.DataFrame:
     which = np.empty(len(sizes), dtype="<i4")
     for b, items in enumerate(bins):
         which[items] = b
-    return pd.DataFrame({"block": [block], "island": [island], "n_bins": [len(bins)], "rows": [rows.astype("<i8").tobytes()], "sizes": [np.array(sizes, dtype="<i4").tobytes()], "bins": [which.tobytes()]})
+    return pd.DataFrame({"block": [block], "island": [island], "n_bins": [len(bins)], "generations": [generations], "rows": [rows.astype("<i8").tobytes()], "sizes": [np.array(sizes, dtype="<i4").tobytes()], "bins": [which.tobytes()]})
 
 
-_STATE = "block long, island int, n_bins int, rows binary, sizes binary, bins binary"
+_STATE = "block long, island int, n_bins int, generations int, rows binary, sizes binary, bins binary"
 
 
 def _first_epoch(capacity: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "row"], ascending=[False, True])
         sizes, block, island = rows["length"].tolist(), int(rows["block"].iat[0]), int(rows["island"].iat[0])
-        return _solution(block, island, rows["row"].to_numpy(), sizes, evolve(sizes, capacity, hash((block, island))))
+        return _solution(block, island, rows["row"].to_numpy(), sizes, *evolve(sizes, capacity, hash((block, island))))
 
     return run
 
@@ -85,8 +85,8 @@ def _next_epoch(capacity: int, epoch: int):
         elites = elites.sort_values(["n_bins", "from"])
         sizes = np.frombuffer(elites["sizes"].iat[0], dtype="<i4").tolist()
         block, island = int(elites["block"].iat[0]), int(elites["island"].iat[0])
-        bins = evolve(sizes, capacity, hash((block, island, epoch)), [_groups(b) for b in elites["bins"]])
-        return _solution(block, island, np.frombuffer(elites["rows"].iat[0], dtype="<i8"), sizes, bins)
+        bins, more = evolve(sizes, capacity, hash((block, island, epoch)), [_groups(b) for b in elites["bins"]])
+        return _solution(block, island, np.frombuffer(elites["rows"].iat[0], dtype="<i8"), sizes, bins, int(elites["generations"].max()) + more)
 
     return run
 
@@ -102,34 +102,49 @@ def _placed(capacity: int):
                 first = np.r_[True, np.diff(which[order]) != 0]
                 offset = at - np.maximum.accumulate(np.where(first, at, 0))
                 fill = np.bincount(which, weights=sizes)[which[order]]
-                yield pd.DataFrame({"row": names[order], "length": sizes[order], "block": r.block, "bin": which[order], "offset": offset, "fill": fill / capacity})
+                yield pd.DataFrame({"row": names[order], "length": sizes[order], "block": r.block, "bin": which[order], "offset": offset, "fill": fill / capacity, "generations": r.generations})
 
     return run
 
 
+def _search(open_: DataFrame, level: int, blocks: int, capacity: int, islands: int, epochs: int) -> DataFrame:
+    """(row, length, block, bin, offset, fill, generations): one level's solution of ``open_`` (row, length)."""
+    dealt = open_.withColumn("block", F.pmod(F.xxhash64("row", F.lit(level)), F.lit(blocks)))
+    state = cut(dealt.withColumn("island", F.explode(F.array([F.lit(k) for k in range(islands)]))).groupBy("block", "island").applyInPandas(_first_epoch(capacity), _STATE))
+    for epoch in range(1, epochs):
+        to = F.explode(F.array("island", F.pmod(F.col("island") + 1, F.lit(islands))))
+        moved = state.withColumn("to", to).select("block", F.col("to").alias("island"), F.col("island").alias("from"), "n_bins", "generations", "rows", "sizes", "bins")
+        old, state = state, cut(moved.groupBy("block", "island").applyInPandas(_next_epoch(capacity, epoch), _STATE))
+        discard(old)
+    best = state.groupBy("block").agg(F.min(F.struct("n_bins", "island")).alias("b")).select("block", "b.island")
+    won = state.join(best, ["block", "island"]).select("block", "rows", "sizes", "bins", "generations")
+    rows = cut(won.mapInPandas(_placed(capacity), "row long, length long, block long, bin int, offset long, fill double, generations int"))
+    discard(state)
+    return rows
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY, *, block: int = BLOCK, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
-    """``pieces`` (with a column length, 1 to capacity) and their sequence_id and offset."""
+    """``pieces`` (with a column length, 1 to capacity) and their sequence_id, offset and generations of the search that placed them (0: a piece of the whole capacity)."""
     # row numbers are written out once, so they stay the same whatever is run again
     pieces = cut(pieces.withColumn("row", F.monotonically_increasing_id()))
-    whole = pieces.filter(F.col("length") >= capacity).select("row", (F.lit(1 << 62) + F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    open_, placed, level = pieces.filter(F.col("length") < capacity).select("row", "length"), [whole], 0
+    whole = pieces.filter(F.col("length") >= capacity).select("row", (F.lit(1 << 62) + F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(0).alias("generations"))
+    poor, placed, level = F.col("fill") < WELL_FILLED, [whole], 0
+    open_, before = pieces.filter(F.col("length") < capacity).select("row", "length"), None
+    named = lambda rows, level: rows.select("row", (F.lit(level << 56) + F.shiftleft(F.col("block"), 20) + F.col("bin")).alias("sequence_id"), "offset", "generations")
     while True:
         blocks = max(1, math.ceil(open_.count() / block))
-        dealt = open_.withColumn("block", F.pmod(F.xxhash64("row", F.lit(level)), F.lit(blocks)))
-        state = dealt.withColumn("island", F.explode(F.array([F.lit(k) for k in range(islands)]))).groupBy("block", "island").applyInPandas(_first_epoch(capacity), _STATE)
-        for epoch in range(1, epochs):
-            to = F.explode(F.array("island", F.pmod(F.col("island") + 1, F.lit(islands))))
-            moved = cut(state).withColumn("to", to).select("block", F.col("to").alias("island"), F.col("island").alias("from"), "n_bins", "rows", "sizes", "bins")
-            state = moved.groupBy("block", "island").applyInPandas(_next_epoch(capacity, epoch), _STATE)
-        state = cut(state)
-        best = state.groupBy("block").agg(F.min(F.struct("n_bins", "island")).alias("b")).select("block", "b.island")
-        rows = cut(state.join(best, ["block", "island"]).select("block", "rows", "sizes", "bins").mapInPandas(_placed(capacity), "row long, length long, block long, bin int, offset long, fill double"))
-        name = (F.lit(level << 56) + F.shiftleft(F.col("block"), 20) + F.col("bin")).alias("sequence_id")
-        last = blocks == 1 or level == 6
-        placed.append((rows if last else rows.filter(F.col("fill") >= WELL_FILLED)).select("row", name, "offset"))
-        if last:
+        rows = _search(open_, level, blocks, capacity, islands, epochs)
+        opened, all_ = rows.filter("offset = 0").agg(F.count_if(poor), F.count("*")).first()
+        if before is not None and all_ >= before[1]:  # nothing saved: what the level before made of these pieces stands
+            placed.append(named(before[0], level - 1))
+            discard(rows)
+            break
+        if before is not None:
+            placed.append(named(before[0].filter(~poor), level - 1))
+        if blocks == 1:
+            placed.append(named(rows, level))
             break
-        open_, level = rows.filter(F.col("fill") < WELL_FILLED).select("row", "length"), level + 1
+        open_, before, level = rows.filter(poor).select("row", "length"), (rows, opened), level + 1
     found = placed[0]
     for p in placed[1:]:
         found = found.unionByName(p)
@@ -137,5 +152,5 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, *, block: int = BLOCK, isl
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, **options) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every row."""
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset, generations) of every piece of every row."""
     return pack(token_pieces(docs, path, capacity, end_id), capacity, **options)

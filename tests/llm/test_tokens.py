@@ -126,17 +126,63 @@ def test_op3_on_odd_rows_and_many_blocks(odd_docs, no_docs, docs, words):
     assert packing.pack_documents(no_docs, WORD).count() == 0
 
 
-def test_genetic_search_keeps_all_items_and_beats_or_meets_best_fit():
+def _bfd(sizes, capacity):
+    return len(gga.best_fit_order(sizes, capacity, sorted(range(len(sizes)), key=lambda i: -sizes[i])).bins)
+
+
+def _optimum(sizes, capacity):
+    """The least number of bins, over all subsets: (bins, fill of the last) of each."""
+    best = {0: (1, 0)}
+    for done in range(1 << len(sizes)):
+        bins, fill = best[done]
+        for i, s in enumerate(sizes):
+            if not done >> i & 1:
+                new = (bins, fill + s) if fill + s <= capacity else (bins + 1, s)
+                best[done | 1 << i] = min(best.get(done | 1 << i, (99, 0)), new)
+    return best[(1 << len(sizes)) - 1][0]
+
+
+def test_genetic_search_keeps_all_items():
     rng = random.Random(5)
     for seed in range(12):
         sizes = [rng.randint(1, 60) for _ in range(rng.randint(1, 120))]
-        down = sorted(range(len(sizes)), key=lambda i: -sizes[i])
-        bins = gga.evolve(sizes, 100, seed)
+        bins, generations = gga.evolve(sizes, 100, seed)
+        assert generations >= 1
         assert sorted(i for b in bins for i in b) == list(range(len(sizes))) and max(sum(sizes[i] for i in b) for b in bins) <= 100
-        assert len(bins) <= len(gga.best_fit_order(sizes, 100, down).bins)
-        a, b = gga.best_fit_order(sizes, 100, down), gga.best_fit_order(sizes, 100, list(range(len(sizes))))
+        a, b = (gga.best_fit_order(sizes, 100, rng.sample(range(len(sizes)), len(sizes))) for _ in range(2))
         for child in (gga.crossover(a, b, rng), gga.mutate(a, rng)):
             assert sorted(i for x in child.bins for i in x) == list(range(len(sizes))) and min(child.room) >= 0
+            assert [100 - sum(sizes[i] for i in x) for x in child.bins] == child.room
+    assert gga.evolve([], 100, 1) == ([], 0)
+
+
+def test_genetic_search_gains_where_best_fit_misses_the_optimum():
+    rng, found, reached = random.Random(8), 0, 0
+    while found < 25:
+        sizes = [rng.randint(18, 60) for _ in range(10)]
+        down, least = _bfd(sizes, 100), _optimum(sizes, 100)
+        if down > least:
+            found += 1
+            reached += min(len(gga.evolve(sizes, 100, island, generations=30)[0]) for island in range(4)) == least
+    assert reached >= 24
+    gain = 0
+    for seed in range(6):  # triplets that fill 20 bins exactly
+        sizes = [x for _ in range(20) for a in [rng.randint(38, 49)] for b in [rng.randint(26, 100 - a - 25)] for x in (a, b, 100 - a - b)]
+        people = [gga.evolve(sizes, 100, 10 * seed + k, generations=40)[0] for k in range(4)]
+        for epoch in range(3):
+            people = [gga.evolve(sizes, 100, 1000 + 10 * epoch + k, [people[k], people[k - 1]], generations=40)[0] for k in range(4)]
+        gain += _bfd(sizes, 100) - min(map(len, people))
+    assert gain > 0
+
+
+def test_op3_search_runs_and_poor_bins_are_packed_again(spark):
+    rng = random.Random(2)
+    small = spark.createDataFrame([(k, rng.randint(1, 400)) for k in range(900)], "k long, length long")
+    rows = packing.pack(small, 1000, block=100).collect()
+    assert len(rows) == 900 and min(r.generations for r in rows) >= 2 and len({r.sequence_id for r in rows}) <= -(-sum(r.length for r in rows) // 1000) + 2
+    wide = spark.createDataFrame([(k, 600 + k % 50) for k in range(300)], "k long, length long")  # no two fit: packing again saves nothing
+    rows = packing.pack(wide, 1000, block=100).collect()
+    assert len(rows) == 300 and len({r.sequence_id for r in rows}) == 300 and {r.offset for r in rows} == {0}
 
 
 def test_segment_tree_is_best_fit():
