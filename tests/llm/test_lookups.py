@@ -39,33 +39,55 @@ def test_op8_odd_urls(spark):
 
 
 def _brute(rows, k):
-    seen, out = [], []
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and (i, tuple(v)) not in seen:
-            seen.append((i, tuple(v)))
-    whole = [(i, [int(np.floor(64 * float(np.float32(x)))) for x in v]) for i, v in seen]
-    for q, a in whole:
+    """Rows count one by one; of each query only its own row takes no part."""
+    fit = [(i, [int(np.floor(64 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for at, (q, a) in enumerate(fit):
         if q % 2 == 0:
-            best = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in whole if i != q)[:k]
+            best = sorted((-sum(x * y for x, y in zip(a, b)), i) for k2, (i, b) in enumerate(fit) if k2 != at)[:k]
             out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("chunk", [4096, 5])
-def test_op9_odd_vectors(spark, chunk):
+@pytest.mark.parametrize("query_bytes,chunk_bytes", [(knn_join.QUERY_BYTES, knn_join.CHUNK_BYTES), (500, 300)])
+def test_op9_odd_vectors(spark, query_bytes, chunk_bytes):
     rng = np.random.default_rng(2)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=6) * (1 + (i % 3) * 5)]) for i in range(60)]
-    rows += [(100 + i, [1.0] * 6) for i in range(30)] + [(200, None), (201, [1.0, None]), (202, [float("nan")] * 6), (203, [float("inf"), 1.0]), (204, []), (205, [2.0]), (None, [1.0] * 6), (3, rows[3][1]), (3, [0.5] * 6), (206, [1e30, -1e20])]
+    rows += [(100 + i, [1.0] * 6) for i in range(30)] + [(200, None), (201, [1.0, None]), (202, [float("nan")] * 6), (203, [float("inf"), 1.0]), (204, []), (205, [2.0]), (None, [1.0] * 6)]
+    rows += [(4, rows[4][1]), (4, rows[4][1]), (4, [0.5] * 6), (3, rows[3][1]), (206, [1e30, -1e20])]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, score int")
     small = [r for r in rows if r[0] != 206]
-    got = knn_join.top_k(df.filter("vec_id is null or vec_id <> 206"), F.col("vec_id") % 2 == 0, 4, pivots=5, chunk=chunk)
+    own = {"query_bytes": query_bytes, "chunk_bytes": chunk_bytes}
+    got = knn_join.top_k(df.filter("vec_id is null or vec_id <> 206"), F.col("vec_id") % 2 == 0, 4, pivots=5, **own)
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == _brute(small, 4)
-    assert knn_join.top_k(df, F.col("vec_id") % 2 == 0, 4, chunk=chunk).filter("query_id = 206 and rank = 1").first().score > 0
+    assert knn_join.top_k(df, F.col("vec_id") % 2 == 0, 4, **own).filter("query_id = 206 and rank = 1").first().score > 0
     assert knn_join.top_k(df.limit(0), F.col("vec_id") % 2 == 0).count() == 0
+    assert knn_join.top_k(df, F.lit(False)).count() == 0
 
 
-def test_bounds_prune_far_cells():
-    pivots = np.array([[100.0, 0.0], [0.0, 100.0], [-100.0, 0.0]])
-    need = knn_join.needed_cells(pivots, np.array([50, 50, 50]), np.array([1.0, 1.0, 1.0]), np.array([1.0, -1.0, 1.0]), 20)
-    assert need == [(0, 0), (2, 2)]
-    assert (0, 2) in knn_join.needed_cells(pivots, np.array([10, 5, 50]), np.array([1.0, 1.0, 1.0]), np.array([1.0, -1.0, 1.0]), 20)
+def test_op9_repeated_ids_are_its_sql(spark, duck, tmp_path):
+    duck.sql(f"create or replace temp table twice as select * from '{DATA}/embeddings.parquet' union all select vec_id // 3, embedding, label from '{DATA}/embeddings.parquet' where vec_id % 4 = 0")
+    duck.sql(f"copy twice to '{tmp_path}/twice.parquet'")
+    table = spark.read.parquet(f"file://{tmp_path}/twice.parquet")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in knn_join.top_k(table, F.col("vec_id") % 20 == 0).collect())
+    assert got == sorted(duck.sql("select query_id, rank, vec_id, score from (" + knn_join.oracle_sql().replace("FROM embeddings", "FROM twice") + ")").fetchall())
+
+
+def test_op9_bounds_hold_and_prune_clustered_data(spark):
+    rng = np.random.default_rng(7)
+    centre = rng.normal(size=(12, 16)) * 4
+    of = rng.integers(0, 12, 1500)
+    x = (centre[of] + rng.normal(size=(1500, 16)) * 0.2).astype("float32")
+    rows = [(i, [float(v) for v in x[i]]) for i in range(1500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    join = knn_join.VoronoiJoin(df, F.col("vec_id") % 2 == 0, 10, 64, "vec_id", "embedding", 24, 70 * 129, 1 << 20)
+    copies = join.copies().select(F.size("groups").alias("n")).agg(F.sum("n")).first()[0]
+    assert len(join.groups) > 5 and copies < 0.5 * len(rows) * len(join.groups)  # over half of all (vector, group) pairs are pruned
+    whole = np.floor(64 * x.astype(float))
+    low, high = join.bounds.of(whole)
+    for j, cell in enumerate(join.cells):
+        own = whole[[r.vec_id for r in join.placed.filter(f"query and cell = {cell}").select("vec_id").collect()]]
+        s = own @ whole.T
+        assert (s >= low[:, j] - 1e-6).all() and (s <= high[:, j] + 1e-6).all()
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in join.result().collect())
+    assert got == _brute(rows, 10)
