@@ -119,7 +119,7 @@ def mutate(parent: Packing, rng: random.Random) -> Packing:
     return child
 
 
-def evolve(sizes: list[int], capacity: int, seed: int, migrants: Sequence[list[list[int]]] = (), *, population: int = 8, generations: int = 10) -> tuple[list[list[int]], int]:
+def evolve(sizes: list[int], capacity: int, seed: int, migrants: Sequence[list[list[int]]] = (), *, population: int = 5, generations: int = 8) -> tuple[list[list[int]], int]:
     """The best bins that one island finds, and how many generations it ran.
 
     Without ``migrants`` the island starts from noisy orders, the more noisy the later; with

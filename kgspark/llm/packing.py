@@ -28,7 +28,7 @@ from .common import cut, discard
 from .gga import evolve
 from .word_bpe import encoder
 
-CAPACITY, BLOCK, ISLANDS, EPOCHS, WELL_FILLED, ROWS = 2048, 4096, 4, 2, 0.97, 256
+CAPACITY, BLOCK, ISLANDS, EPOCHS, WELL_FILLED, ROWS = 2048, 4096, 3, 2, 0.97, 256
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", *, with_ids: bool = False) -> DataFrame:

@@ -163,7 +163,7 @@ def test_genetic_search_gains_where_best_fit_misses_the_optimum():
         down, least = _bfd(sizes, 100), _optimum(sizes, 100)
         if down > least:
             found += 1
-            reached += min(len(gga.evolve(sizes, 100, island, generations=30)[0]) for island in range(4)) == least
+            reached += min(len(gga.evolve(sizes, 100, island, population=8, generations=30)[0]) for island in range(4)) == least
     assert reached >= 24
     gain = 0
     for seed in range(6):  # triplets that fill 20 bins exactly
