@@ -1,17 +1,19 @@
 """Language identification with a string kernel.
 
 The kernel of two texts is the number of character n-grams (n = 2 and 3, blended)
-present in both whole texts, divided by the root of each text's own number.  Letters
-are lower-cased and folded onto a small alphabet: the most frequent characters of the
+present in both whole texts, divided by the root of each text's own number; of a text only the
+n-grams that some landmark holds are counted.  Letters are lower-cased and folded onto a small alphabet: the most frequent characters of the
 landmarks keep a code each, all others share the remaining codes.  A few training
 texts are landmarks; the Nyström map turns the kernel with them into features, and
 one ridge regression for each language (one against the rest) scores these.  Texts are
 scored in batches: a presence matrix times the landmarks' presence matrix, then
 times one matrix that holds map and regressions.
 
-The training sample is bounded: at most ``per_lang`` documents of each of the ``MAX_LANGS``
-most frequent languages, chosen by a hash of their id among all rows that may be learned
-from; with many languages each has fewer landmarks, ``LANDMARKS`` (or two each) in all.
+The training sample is bounded: at most ``per_lang`` documents a language, ``MAX_ROWS`` in all
+and about ``SAMPLE_BYTES`` of text in all.  Rows are ranked by a hash of their id within their language on the
+executors; the first of every language come before the second of any, and of a language at
+least one is taken, whatever its length.  With many languages each has fewer landmarks, ``LANDMARKS``
+(or two each) in all.
 
 ``predict`` may also be given a ``Vocabulary``: the triples of plain words that a language's
 training texts hold, and the least share of its triples that a text of the language must
@@ -35,13 +37,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-PER_LANG, LANDMARKS_PER_LANG, LANDMARKS, RIDGE, BITS, ROWS, MAX_LANGS, CHUNK = 300, 64, 256, 1e-3, 7, 64, 256, 1 << 20
+from .common import positional
+
+PER_LANG, LANDMARKS_PER_LANG, LANDMARKS, RIDGE, BITS, ROWS, MAX_ROWS, SAMPLE_BYTES, CHUNK = 300, 64, 256, 1e-3, 7, 64, 20_000, 64 << 20, 1 << 20
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[^\W_]+")
 FLOOR_SHARE, FLOOR_QUANTILE, MANY_TEXTS = 2 / 3, 0.01, 20
 
@@ -79,6 +82,10 @@ def grams(text: str, fold: np.ndarray) -> np.ndarray:
     return np.concatenate([three, two + (1 << 3 * BITS)])
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def _alphabet(texts: list[str]) -> np.ndarray:
     size = 1 << BITS
     fold = (np.arange(0x110000, dtype=np.int64) % (size // 4) + size - size // 4).astype(np.int32)
@@ -116,7 +123,8 @@ def fit(texts: list[str], langs: list[str], landmarks_per_lang: int = LANDMARKS_
     size = np.array([max(1, model.presence(t).sum()) for t in texts])
     x = np.c_[(p / np.sqrt(size)[:, None] / own) @ root, np.ones(len(texts))]
     y = np.where(np.array(langs)[:, None] == np.array(names), 1.0, -1.0)
-    share = np.array([1 / langs.count(n) for n in langs])[:, None]  # each language weighs the same
+    number = Counter(langs)
+    share = np.array([1 / number[n] for n in langs])[:, None]  # each language weighs the same
     beta = np.linalg.solve(x.T @ (share * x) + ridge * np.eye(x.shape[1]), x.T @ (share * y))
     model.weights = np.r_[root @ beta[:-1], beta[-1:]].astype(np.float32)
     return model
@@ -168,25 +176,22 @@ def vocabulary(texts: list[str], langs: list[str], model: KernelModel | None) ->
     return Vocabulary(model.fold, known, floor)
 
 
-def training_rows(rows: DataFrame, per_lang: int = PER_LANG) -> tuple[list[str], list[str]]:
-    """Texts and languages of at most about ``per_lang`` rows a language out of rows (doc_id, text, lang), by a hash of doc_id."""
-    rows = rows.filter("doc_id is not null and text is not null and lang is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
-    if not counts:
-        return [], []
-    part = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30))
-    bound = F.lit(None).cast("long")
-    for name, n in counts.items():
-        bound = F.when(F.col("lang") == name, F.lit(min(1 << 30, (per_lang << 30) // n + 1))).otherwise(bound)
-    found = rows.withColumn("part", part).filter(F.col("part") < bound).select("part", "doc_id", "lang", "text").collect()
-    found = sorted(((r["part"], r["doc_id"], r["lang"], r["text"]) for r in found if _LETTER.search(r["text"])))
-    taken, texts, langs = Counter(), [], []
-    for _, _, lang, text in found:
-        if taken[lang] < per_lang:
-            taken[lang] += 1
-            texts.append(text)
-            langs.append(lang)
-    return texts, langs
+def training_rows(rows: DataFrame, per_lang: int = PER_LANG, max_rows: int = MAX_ROWS, max_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:
+    """Texts and languages of the bounded sample of rows (doc_id, text, lang), in the order of a hash of doc_id."""
+    rows = rows.filter("doc_id is not null and text is not null and lang is not null").filter(F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", "text", "doc_id", F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30)).alias("part"))
+    # first the hashes alone, then the texts of those that can be among the first
+    light = rows.select("lang", "part").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("part")))
+    last = light.filter(F.col("rank") <= per_lang).groupBy("lang").agg(F.max("part").alias("last"))
+    langs = min(max_rows, last.limit(max_rows).count())
+    some = rows.join(F.broadcast(last) if langs < max_rows else last, "lang").filter("part <= last")
+    order = Window.partitionBy("lang").orderBy("part", "doc_id", "text")
+    ranked = some.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_lang)
+    ranked = ranked.withColumn("size", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = ranked.filter((F.col("rank") == 1) | (F.col("size") <= max_bytes // max(1, langs)))
+    found = ranked.orderBy("rank", "lang").limit(max_rows).select("part", "doc_id", "lang", "text").collect()
+    found = sorted((r["part"], r["doc_id"], r["lang"], r["text"]) for r in found)
+    return [r[3] for r in found], [r[2] for r in found]
 
 
 def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text", *, words: Vocabulary | None = None) -> DataFrame:
@@ -195,8 +200,9 @@ def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text",
     With ``words``, texts that its languages don't hold are ``und`` with score 0.
     """
     held = docs.sparkSession.sparkContext.broadcast((model, words))
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")])
-    place = docs.columns.index(text_col)
+    stay = [k for k, c in enumerate(docs.columns) if c not in ("lang_pred", "score")]
+    columns = [docs.columns[k] for k in stay]
+    docs, place = positional(positional(docs).select(*[f"c{k}" for k in stay])), columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, v = held.value
@@ -205,7 +211,7 @@ def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text",
                 part = batch.slice(lo, ROWS)
                 texts = part.column(place).to_pylist()
                 langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-                known = [i for i, t in enumerate(texts) if m and t and _LETTER.search(t)]
+                known = [i for i, t in enumerate(texts) if m and t and has_letter(t)]
                 if known:
                     s = m.scores([texts[i] for i in known])
                     best = s.argmax(axis=1)
@@ -214,7 +220,7 @@ def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text",
                             langs[i], scores[i] = m.langs[b], min(1.0, max(0.0, (x + 1) / 2))
                 yield pa.record_batch([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])).toDF(*columns, "lang_pred", "score")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -26,6 +26,8 @@ import ahocorasick
 
 SPACE = "▁"
 NEVER = 1 << 40
+#: Bounds of what a Python worker keeps: bytes of cached parts (a part's text, ids and about 200 bytes of objects), characters of a part worth keeping, pairs of pieces.
+CACHE_BYTES, LONG_PART, MAX_PAIRS, ENTRY_BYTES = 128 << 20, 128, 1_000_000, 200
 _RUNS = re.compile("▁+[^▁]*|[^▁]+")
 
 
@@ -92,6 +94,7 @@ class PieceModel:
         self.left: dict[str, list[tuple[str, int]]] = {}
         self.right: dict[str, list[tuple[str, int]]] = {}
         self.fits: dict[str, dict[str, bool]] = {}
+        self.pairs = 0
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
             if p not in runs and (len(p) == 1 or self._last_merge(p)):
@@ -165,6 +168,8 @@ class PieceModel:
     def _table(self, text: str) -> list[int]:
         n = len(text)
         last: list[str | None] = [None] * (n + 1)
+        if self.pairs > MAX_PAIRS:
+            self.fits, self.pairs = {}, 0
         fits = self.fits
         for end, (size, piece) in self.automaton.iter(text):
             end += 1
@@ -179,6 +184,7 @@ class PieceModel:
                 ok = known.get(piece)
                 if ok is None:
                     ok = known[piece] = self.compatible(before, piece)
+                    self.pairs += 1
                 if ok:
                     last[end] = piece
         out, ids = [], self.ids
@@ -218,16 +224,35 @@ def model(path: str) -> PieceModel:
     return _MODELS[path]
 
 
+class PartCache(dict):
+    """Values of parts met before, within ``CACHE_BYTES``; of a full cache the older half stays, where the frequent parts are.  Long parts aren't kept."""
+
+    def __init__(self, keep: int):
+        super().__init__()
+        self.keep, self.held = keep, 0
+
+    def learn(self, part: str, value) -> None:
+        if len(part) > LONG_PART:
+            return
+        if len(self) >= self.keep or self.held > CACHE_BYTES:
+            old = list(islice(self.items(), len(self) // 2))
+            self.clear()
+            self.update(old)
+            self.held //= 2
+        self[part] = value
+        self.held += ENTRY_BYTES + 8 * len(part)
+
+
 class PieceEncoder:
-    """Encodes whole texts; keeps the int32 ids of up to ``keep`` pre-tokens it has met, and of a full cache the older half, where the frequent ones are."""
+    """Encodes whole texts; keeps the int32 ids of up to ``keep`` pre-tokens it has met."""
 
     def __init__(self, path: str, keep: int = 600_000):
-        self.model, self.keep, self.known = model(path), keep, {"": b""}
+        self.model, self.known = model(path), PartCache(keep)
+        self.known[""] = b""
 
     def _learn(self, part: str) -> bytes:
-        if len(self.known) >= self.keep:
-            self.known = dict(islice(self.known.items(), self.keep // 2))
-        ids = self.known[part] = array("i", self.model.encode_part(part)).tobytes()
+        ids = array("i", self.model.encode_part(part)).tobytes()
+        self.known.learn(part, ids)
         return ids
 
     def encode(self, text: str | None) -> bytes:
@@ -237,5 +262,6 @@ class PieceEncoder:
         if None in ids:
             for k, x in enumerate(ids):
                 if x is None:
-                    ids[k] = self.known.get(parts[k]) or self._learn(parts[k])
+                    x = self.known.get(parts[k])
+                    ids[k] = self._learn(parts[k]) if x is None else x
         return b"".join(ids)

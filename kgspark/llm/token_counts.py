@@ -4,7 +4,7 @@ Tier one is a table of the lengths of the corpus' most frequent pre-tokens.  Eac
 task of a first pass keeps a bounded summary of its own pre-tokens, the summaries
 are added up, and the ``frequent`` most frequent (at most ``LONGEST`` characters each,
 hence a proven size) are broadcast with their lengths.  Tier two is a bounded cache in
-each Python worker for all others, which the tokeniser's library encodes.  No
+each Python worker, bounded in entries and bytes, for all others, which the tokeniser's library encodes.  No
 pre-token is shuffled but those summaries, and both tiers are exact: the table changes
 the cost, never a count.
 
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .piece_bpe import SPACE, pre_tokens
+from .piece_bpe import CACHE_BYTES, ENTRY_BYTES, LONG_PART, SPACE, pre_tokens
 from .word_bpe import encoder
 
 FREQUENT, LONGEST, PER_TASK, SUMMARY, KEEP, ROWS = 65_536, 48, 8_192, 200_000, 400_000, 500
@@ -77,10 +77,10 @@ def frequent_parts(texts: DataFrame, path: str, frequent: int = FREQUENT) -> lis
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 for text in batch.column(0).slice(lo, ROWS).to_pylist():
-                    seen.update(split(text))
-                if len(seen) > SUMMARY:
-                    seen = Counter(dict(seen.most_common(SUMMARY // 2)))
-        top = [(p, n) for p, n in seen.most_common(PER_TASK) if 0 < len(p) <= LONGEST]
+                    seen.update([p for p in split(text) if 0 < len(p) <= LONGEST])
+                    if len(seen) > SUMMARY:
+                        seen = Counter(dict(seen.most_common(SUMMARY // 2)))
+        top = seen.most_common(PER_TASK)
         yield pa.record_batch([pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["part", "n"])
 
     found = texts.mapInArrow(run, "part string, n long").groupBy("part").agg(F.sum("n").alias("n"))
@@ -102,16 +102,22 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "d
             parts, sizes = table.value
             first = _TIERS[path, stamp] = dict(zip(parts, memoryview(sizes).cast("I"), strict=True)) | {"": 0}
         known = _TIERS.setdefault((path, 0), dict(first))
+        held = (ENTRY_BYTES + 4 * LONGEST) * len(known)
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 texts = batch.column(1).slice(lo, ROWS)
                 cut = [rule.split(t) for t in texts.to_pylist()]
-                if len(known) > keep + len(first):
+                if len(known) > keep + len(first) or held > CACHE_BYTES:
                     known.clear()
                     known.update(first)
+                    held = 0
                 new = list({p for parts in cut for p in parts}.difference(known))
                 known.update(zip(new, rule.lengths(new)))
                 n = pa.array([sum([known[p] for p in parts]) for parts in cut], pa.int64())
+                held += sum([ENTRY_BYTES + 4 * len(p) for p in new])
+                for p in new:
+                    if len(p) > LONG_PART:  # not worth keeping
+                        del known[p]
                 size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
                 yield pa.record_batch([batch.column(0).slice(lo, ROWS), size, n, pc.greater(n, limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 

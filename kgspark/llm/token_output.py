@@ -1,8 +1,10 @@
 """Packed id matrices: best-fit-decreasing with a segment tree over capacities.
 
 Documents become pieces as in ``packing`` (ids and an end id, cut into pieces of at most
-the width, nothing dropped).  Pieces are dealt at random into blocks whose number follows
-the input's bytes; in each block they go, longest first, to the fullest sequence that still
+the width, nothing dropped).  Pieces are dealt into blocks whose number follows the input's
+bytes, by a hash of their content, their task and which of the task's rows of this content they
+are of: a task that is run again deals the same, in whatever order its rows come, and rows
+that are alike spread as well.  In each block they go, longest first, to the fullest sequence that still
 holds them: a segment tree over the residual capacities finds it in log(width)
 steps.  Each sequence becomes one row of a matrix: its ids as little-endian
 unsigned integers, padded to the width.
@@ -21,12 +23,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .word_bpe import encoder
 
-WIDTH, BLOCK_BYTES, ROWS = 2048, 12_000_000, 256
+WIDTH, BLOCK_BYTES, TASK_BLOCKS, ROWS = 2048, 12_000_000, 4, 256
 
 
 class CapacityTree:
@@ -92,18 +95,19 @@ def packed_matrices(docs: DataFrame, path: str, width: int = WIDTH, end_id: int
     blocks, kind = max(1, math.ceil(total / block_bytes)), {2: "<u2", 4: "<u4"}[id_bytes]
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end, seen = encoder(path), np.array([end_id], dtype="<u4").tobytes(), 0
+        enc, end, seen, task = encoder(path), np.array([end_id], dtype="<u4").tobytes(), {}, TaskContext.get().partitionId()
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 names = batch.column(0).slice(lo, ROWS).to_pylist()
                 block, doc, piece, parts = [], [], [], []
                 for name, ids in zip(names, enc.encode(batch.column(1).slice(lo, ROWS).to_pylist())):
+                    content = xxhash.xxh3_64_intdigest(ids, hash(name) & 0xFFFFFFFF)
+                    seen[content] = again = seen.get(content, 0) + 1
                     ids = np.frombuffer(ids + end, dtype="<u4")
                     if id_bytes == 2 and ids.max() > 0xFFFF:
                         raise ValueError("the vocabulary needs four bytes an id")
                     for k, start in enumerate(range(0, len(ids), width)):
-                        seen += 1  # rows that are alike spread as well
-                        block.append(xxhash.xxh3_64_intdigest(f"{name}:{k}:{seen}") % blocks)
+                        block.append(xxhash.xxh3_64_intdigest(f"{content}:{k}:{again}:{task}") % blocks)
                         doc.append(name)
                         piece.append(k)
                         parts.append(ids[start : start + width].astype(kind).tobytes())
@@ -122,6 +126,9 @@ def packed_matrices(docs: DataFrame, path: str, width: int = WIDTH, end_id: int
         return pd.DataFrame(out, columns=["block", "row", "n_tokens", "ids", "cu_seqlens", "resets", "doc_ids", "pieces"])
 
     parts = texts.mapInArrow(cut_up, "block long, doc_id long, piece int, part binary")
+    tasks = blocks // TASK_BLOCKS
+    if tasks > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):  # a task's input doesn't grow with the table
+        parts = parts.repartition(tasks, "block")
     return parts.groupBy("block").applyInPandas(fill, "block long, row int, n_tokens int, ids binary, cu_seqlens array<int>, resets array<int>, doc_ids array<long>, pieces array<int>")
 
 

@@ -26,7 +26,8 @@ MAX_BROADCAST = 5_000
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """After the first ``://``: the host, A-Z lower-cased, and the path up to ``?`` or ``#``."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring(url, instr(url, '://') + 3)")).otherwise(F.lit(""))
+    at = F.instr(url, "://")
+    rest = F.when(at > 0, F.substr(url, at + 3)).otherwise(F.lit(""))
     rest = F.coalesce(rest, F.lit(""))
     whole = F.regexp_extract(rest, r"(?s)^([^?#]*)", 1)
     host = F.regexp_extract(whole, r"(?s)^([^/]*)", 1)

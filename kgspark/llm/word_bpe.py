@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import re
 from array import array
-from itertools import islice
 
 import numpy as np
 
+from .piece_bpe import PartCache
+
 _ODD = re.compile("[\x1c-\x1f]")
 #: What a file must hold for its words to be separable (fixed values of that format).
 _NORMALIZERS = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None)]
@@ -64,7 +65,7 @@ class WordEncoder:
         self.tokenizer.no_padding()
         # special tokens are found before anything else; those told apart by "<|" can't be in a plain word
         self.separable = _separable(spec) and all(x["content"].startswith("<|") and not x.get("lstrip") and not x.get("rstrip") for x in spec.get("added_tokens", []))
-        self.keep, self.known, self.parts = keep, {}, {}
+        self.known, self.parts = PartCache(keep), PartCache(keep)
         self.bytes, self.model = _byte_level(), self.tokenizer.model
 
     def _library(self, text: str) -> bytes:
@@ -73,21 +74,18 @@ class WordEncoder:
     def _part(self, part: str) -> bytes:
         done = self.parts.get(part)
         if done is None:
-            done = self.parts[part] = array("I", [t.id for t in self.model.tokenize(part.translate(self.bytes))]).tobytes()
+            done = array("I", [t.id for t in self.model.tokenize(part.translate(self.bytes))]).tobytes()
+            self.parts.learn(part, done)
         return done
 
     def _learn(self, word: str) -> bytes:
-        """The ids of a word met for the first time; of a full cache the older half stays, where the frequent words are."""
-        if len(self.known) >= self.keep:
-            self.known = dict(islice(self.known.items(), self.keep // 2))
-        if len(self.parts) >= self.keep:
-            self.parts = dict(islice(self.parts.items(), self.keep // 2))
+        """The ids of a word met for the first time."""
         if _PLAIN.fullmatch(word) and "<|" not in word:
             low = word.lower()
             ids = self._part(low) if low.isalpha() else b"".join([self._part(p) for p in _PARTS.findall(low)])
         else:
             ids = self._library(word)
-        self.known[word] = ids
+        self.known.learn(word, ids)
         return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -104,7 +102,8 @@ class WordEncoder:
             if None in ids:
                 for k, x in enumerate(ids):
                     if x is None:
-                        ids[k] = self.known.get(words[k]) or self._learn(words[k])
+                        x = self.known.get(words[k])
+                        ids[k] = self._learn(words[k]) if x is None else x
             out.append(b"".join(ids))
         return out
 

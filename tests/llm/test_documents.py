@@ -1,5 +1,5 @@
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -63,6 +63,29 @@ def test_op2_odd_rows(odd_docs, no_docs):
     assert near_dup.near_duplicates(no_docs).count() == 0
 
 
+def test_op2_repeated_ids_join_their_texts(spark):
+    rng = np.random.default_rng(5)
+    a, b, c = (" ".join(f"{k}{x}" for x in rng.integers(0, 10**6, 40)) for k in "abc")
+    rows = [(3, a), (5, a), (5, b), (9, b), (9, b), (4, c), (8, c + " end"), (7, c), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(df).collect())
+    assert got == [(3, 3, True), (4, 4, True), (5, 3, False), (5, 3, False), (7, 4, False), (7, 7, True), (8, 4, False), (9, 3, False), (9, 3, False)]
+
+
+@pytest.mark.parametrize("wide", [20_000, 1])
+def test_op2_compares_the_same_pairs_in_clusters_of_any_size(spark, wide):
+    base = [f"w{i}" for i in range(300)]
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(120):  # each a few edits away from the text before: similar neighbours, unlike ends
+        base[int(rng.integers(0, 300))] = f"e{k}"
+        base[int(rng.integers(0, 300))] = f"f{k}"
+        rows.append((k, " ".join(base)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bands=4, block=7, wide=wide).collect()}
+    other = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bands=4, block=400, wide=20_000).collect()}
+    assert got == other
+
+
 def test_sketch_fills_every_bin_and_estimates():
     rng = np.random.default_rng(1)
     for n in (1, 2, 7, 160, 5000):
@@ -113,6 +136,15 @@ def test_op4_both_ways_and_odd_rows(spark, odd_docs, no_docs, max_broadcast):
     assert line_dedup.dedup_lines(no_docs, max_broadcast=max_broadcast).count() == 0
 
 
+@pytest.mark.parametrize("max_broadcast", [500_000, 0])
+def test_op4_takes_any_column_names(spark, max_broadcast):
+    rows = [(k, f"shared line of some length\nown {k}", f"s{k % 6}", 1, 2, 3, 4, 5) for k in range(12)]
+    x = spark.createDataFrame(rows, "doc_id long, text string, source string, _gone int, `a.b` int, row int, site int, h1 int")
+    got = line_dedup.dedup_lines(x, max_broadcast=max_broadcast)
+    assert got.columns == [*x.columns, "lines_total", "lines_removed"]
+    assert sorted(tuple(r) for r in got.collect()) == [(k, f"own {k}", f"s{k % 6}", 1, 2, 3, 4, 5, 2, 1) for k in range(12)]
+
+
 def test_op6_learns_and_never_reads_labels(spark, docs):
     got = QUERIES["op6_language_id"](spark, DATA).collect()
     truth = {r.doc_id: r for r in docs.collect()}
@@ -133,6 +165,54 @@ def test_op6_odd_rows(odd_docs, no_docs, docs):
     assert lang_id.identify(odd_docs).count() == odd_docs.count()
 
 
+def test_op6_signs_that_are_no_letters_and_odd_names(spark, docs):
+    model = lang_id.fit(*lang_id.training_rows(docs.select("doc_id", "text", "lang")))
+    rows = [(1, "² ½ ① Ⅷ 12", 0), (2, "the ª", 0), (3, "١٢", 0)]
+    got = lang_id.predict(spark.createDataFrame(rows, "`a.b` int, text string, c0 int"), model)
+    assert got.columns == ["a.b", "text", "c0", "lang_pred", "score"]
+    assert [r.lang_pred == "und" for r in sorted(got.collect())] == [True, False, True]
+
+
+def test_op6_sample_is_bounded(spark):
+    rows = [(7, f"hot text {k % 9}", "xx") for k in range(900)] + [(k, "word " * 50, f"l{k % 40}") for k in range(400)] + [(1000, "w " * 5000, "long")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts, langs = lang_id.training_rows(df, per_lang=5)
+    assert max(Counter(langs).values()) == 5 and set(langs) == {"xx", "long"} | {f"l{k}" for k in range(40)}
+    texts, langs = lang_id.training_rows(df, per_lang=5, max_rows=42)
+    assert len(langs) == 42 and len(set(langs)) == 42  # the first of every language comes before the second of any
+    texts, langs = lang_id.training_rows(df, per_lang=5, max_bytes=42 * 600)
+    assert Counter(langs)["l0"] == 2 and Counter(langs)["long"] == 1
+    assert lang_id.training_rows(df.limit(0)) == ([], [])
+
+
+def test_op6_scores_are_the_kernel_method(docs):
+    """Kernel, Nyström map and ridge once more, from sets and dense matrices."""
+    rows = [r for r in docs.orderBy("doc_id").limit(60).collect() if r.text and lang_id.has_letter(r.text)]
+    texts, langs = [r.text[:600] for r in rows[:40]], [r.lang for r in rows[:40]]
+    m = lang_id.fit(texts, langs, landmarks_per_lang=4)
+    fold = lambda t: [int(m.fold[ord(c)]) for c in t.lower()]
+    grams = lambda c: {tuple(c[i : i + n]) for n in (2, 3) for i in range(len(c) - n + 1)}
+    names, marks = sorted(set(langs)), []
+    for n in names:
+        marks += [i for i, x in enumerate(langs) if x == n][:4]
+    held = [grams(fold(texts[i])) for i in marks]
+    every = set().union(*held)
+
+    def kernel(t):
+        own = grams(fold(t)) & every
+        return np.array([len(own & h) / np.sqrt(max(1, len(own)) * max(1, len(h))) for h in held])
+
+    k = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in held] for a in held])
+    values, vectors = np.linalg.eigh(k)
+    keep = values > 1e-6 * values[-1]
+    phi = lambda t: np.r_[kernel(t) @ (vectors[:, keep] / np.sqrt(values[keep])), 1]
+    x, y = np.array([phi(t) for t in texts]), np.where(np.array(langs)[:, None] == np.array(names), 1.0, -1.0)
+    w = np.diag([1 / langs.count(n) for n in langs])
+    beta = np.linalg.solve(x.T @ w @ x + lang_id.RIDGE * np.eye(x.shape[1]), x.T @ w @ y)
+    fresh = [r.text[:600] for r in rows[40:]]
+    assert np.abs(m.scores(fresh) - np.array([phi(t) for t in fresh]) @ beta).max() < 2e-2
+
+
 def _brute_quality(t):
     w = WORDS.findall(t or "")
     at = defaultdict(list)

@@ -1,12 +1,13 @@
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from kgspark.llm import gga, packing, token_counts, token_output
@@ -220,3 +221,28 @@ def test_op7_empty_and_null_ids(odd_docs, no_docs):
     assert token_output.packed_matrices(no_docs, WORD).count() == 0
     rows = token_output.packed_matrices(odd_docs, WORD).collect()
     assert sum(len(r.doc_ids) for r in rows) >= odd_docs.count() and sum(d is None for r in rows for d in r.doc_ids) == 2
+
+
+def test_op7_rows_alike_spread_and_a_task_run_again_deals_the_same(spark, words):
+    rows = [(1, "same text of a few words")] * 400 + [(k, f"own text {k}") for k in range(100)] + [(1, "another text"), (None, None)]
+    deal = lambda df: sorted((r.block, r.n_tokens, tuple(sorted((d if d is not None else -1, p) for d, p in zip(r.doc_ids, r.pieces)))) for r in token_output.packed_matrices(df, WORD, 64, block_bytes=2000).collect())
+    one = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = deal(one)
+    assert got == deal(one.orderBy(F.rand(3)).coalesce(1)) and len({b for b, _, _ in got}) > 5
+    held = Counter(x for _, _, own in got for x in own)
+    assert held == Counter((d if d is not None else -1, 0) for d, _ in rows)
+
+
+def test_op3_rows_of_one_id_keep_their_own_pieces(spark, words):
+    rows = [(1, "same text")] * 3 + [(1, "another text"), (1, None), (None, "x y")]
+    got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), WORD).collect()
+    crc = lambda t: zlib.crc32(np.array([*words.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4").tobytes())
+    assert Counter((r.doc_id, r.ids_crc32) for r in got) == Counter((d, crc(t)) for d, t in rows)
+
+
+def test_caches_stay_within_their_bytes(monkeypatch):
+    monkeypatch.setattr("kgspark.llm.piece_bpe.CACHE_BYTES", 50_000)
+    e = PieceEncoder(PIECE)
+    for k in range(3000):
+        e.encode(f"word{k} {'x' * (k % 300)}")
+    assert e.known.held <= 51_000 and len(e.known) < 300 and max(map(len, e.known)) <= 128
