@@ -42,13 +42,7 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near-duplicate texts, the one of the smallest id; rows alike in id and text once, rows without an id stay."""
-    # classes are of rows: an id that is repeated with another text decides nothing for that text
-    rows = cut(docs.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())))
-    classes = near_dup.near_duplicates(rows, "_row").filter("doc_id is not null").select(F.col("doc_id").alias("_row"), "component_id")
-    classed = cut(rows.select("_row", "doc_id").join(classes, "_row"))
-    first = classed.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("first")).select(F.col("first._row").alias("_row"))
-    gone = classed.select("_row").join(first, "_row", "left_anti")
-    return rows.join(gone, "_row", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return near_dup.keep_one(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
