@@ -26,8 +26,8 @@ import ahocorasick
 
 SPACE = "▁"
 NEVER = 1 << 40
-#: Bounds of what a Python worker keeps: bytes of cached parts (a part's text, ids and about 200 bytes of objects), characters of a part worth keeping, pairs of pieces.
-CACHE_BYTES, LONG_PART, MAX_PAIRS, ENTRY_BYTES = 128 << 20, 128, 1_000_000, 200
+#: Bounds of what a Python worker keeps: parts, and characters of a part worth keeping (so at most some 700 bytes each, 300 MB in all; usually a third of that), pairs of pieces.
+KEEP, LONG_PART, MAX_PAIRS = 400_000, 64, 1_000_000
 _RUNS = re.compile("▁+[^▁]*|[^▁]+")
 
 
@@ -224,35 +224,23 @@ def model(path: str) -> PieceModel:
     return _MODELS[path]
 
 
-class PartCache(dict):
-    """Values of parts met before, within ``CACHE_BYTES``; of a full cache the older half stays, where the frequent parts are.  Long parts aren't kept."""
-
-    def __init__(self, keep: int):
-        super().__init__()
-        self.keep, self.held = keep, 0
-
-    def learn(self, part: str, value) -> None:
-        if len(part) > LONG_PART:
-            return
-        if len(self) >= self.keep or self.held > CACHE_BYTES:
-            old = list(islice(self.items(), len(self) // 2))
-            self.clear()
-            self.update(old)
-            self.held //= 2
-        self[part] = value
-        self.held += ENTRY_BYTES + 8 * len(part)
+def older_half(cache: dict) -> dict:
+    """The older half of a full cache, where the frequent parts are."""
+    return dict(islice(cache.items(), len(cache) // 2))
 
 
 class PieceEncoder:
     """Encodes whole texts; keeps the int32 ids of up to ``keep`` pre-tokens it has met."""
 
-    def __init__(self, path: str, keep: int = 600_000):
-        self.model, self.known = model(path), PartCache(keep)
-        self.known[""] = b""
+    def __init__(self, path: str, keep: int = KEEP):
+        self.model, self.keep, self.known = model(path), keep, {"": b""}
 
     def _learn(self, part: str) -> bytes:
         ids = array("i", self.model.encode_part(part)).tobytes()
-        self.known.learn(part, ids)
+        if len(part) <= LONG_PART:
+            if len(self.known) >= self.keep:
+                self.known = older_half(self.known)
+            self.known[part] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .piece_bpe import CACHE_BYTES, ENTRY_BYTES, LONG_PART, SPACE, pre_tokens
+from .piece_bpe import LONG_PART, SPACE, pre_tokens
 from .word_bpe import encoder
 
 FREQUENT, LONGEST, PER_TASK, SUMMARY, KEEP, ROWS = 65_536, 48, 8_192, 200_000, 400_000, 500
@@ -102,19 +102,16 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "d
             parts, sizes = table.value
             first = _TIERS[path, stamp] = dict(zip(parts, memoryview(sizes).cast("I"), strict=True)) | {"": 0}
         known = _TIERS.setdefault((path, 0), dict(first))
-        held = (ENTRY_BYTES + 4 * LONGEST) * len(known)
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 texts = batch.column(1).slice(lo, ROWS)
                 cut = [rule.split(t) for t in texts.to_pylist()]
-                if len(known) > keep + len(first) or held > CACHE_BYTES:
+                if len(known) > keep + len(first):
                     known.clear()
                     known.update(first)
-                    held = 0
                 new = list({p for parts in cut for p in parts}.difference(known))
                 known.update(zip(new, rule.lengths(new)))
                 n = pa.array([sum([known[p] for p in parts]) for parts in cut], pa.int64())
-                held += sum([ENTRY_BYTES + 4 * len(p) for p in new])
                 for p in new:
                     if len(p) > LONG_PART:  # not worth keeping
                         del known[p]

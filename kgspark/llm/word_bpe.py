@@ -15,7 +15,7 @@ from array import array
 
 import numpy as np
 
-from .piece_bpe import PartCache
+from .piece_bpe import KEEP, LONG_PART, older_half
 
 _ODD = re.compile("[\x1c-\x1f]")
 #: What a file must hold for its words to be separable (fixed values of that format).
@@ -53,7 +53,7 @@ def _separable(spec: dict) -> bool:
 class WordEncoder:
     """ids of whole texts as little-endian uint32 bytes, as ``encode(text, add_special_tokens=False)`` gives them."""
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = KEEP):
         import json
 
         from tokenizers import Tokenizer
@@ -65,7 +65,7 @@ class WordEncoder:
         self.tokenizer.no_padding()
         # special tokens are found before anything else; those told apart by "<|" can't be in a plain word
         self.separable = _separable(spec) and all(x["content"].startswith("<|") and not x.get("lstrip") and not x.get("rstrip") for x in spec.get("added_tokens", []))
-        self.known, self.parts = PartCache(keep), PartCache(keep)
+        self.keep, self.known, self.parts = keep, {}, {}
         self.bytes, self.model = _byte_level(), self.tokenizer.model
 
     def _library(self, text: str) -> bytes:
@@ -75,17 +75,23 @@ class WordEncoder:
         done = self.parts.get(part)
         if done is None:
             done = array("I", [t.id for t in self.model.tokenize(part.translate(self.bytes))]).tobytes()
-            self.parts.learn(part, done)
+            if len(part) <= LONG_PART:
+                self.parts[part] = done
         return done
 
     def _learn(self, word: str) -> bytes:
         """The ids of a word met for the first time."""
+        if len(self.parts) >= self.keep:
+            self.parts = older_half(self.parts)
         if _PLAIN.fullmatch(word) and "<|" not in word:
             low = word.lower()
             ids = self._part(low) if low.isalpha() else b"".join([self._part(p) for p in _PARTS.findall(low)])
         else:
             ids = self._library(word)
-        self.known.learn(word, ids)
+        if len(word) <= LONG_PART:
+            if len(self.known) >= self.keep:
+                self.known = older_half(self.known)
+            self.known[word] = ids
         return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:

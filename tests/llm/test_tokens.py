@@ -240,9 +240,10 @@ def test_op3_rows_of_one_id_keep_their_own_pieces(spark, words):
     assert Counter((r.doc_id, r.ids_crc32) for r in got) == Counter((d, crc(t)) for d, t in rows)
 
 
-def test_caches_stay_within_their_bytes(monkeypatch):
-    monkeypatch.setattr("kgspark.llm.piece_bpe.CACHE_BYTES", 50_000)
-    e = PieceEncoder(PIECE)
+def test_caches_stay_within_their_bounds():
+    piece, word = PieceEncoder(PIECE, keep=300), WordEncoder(WORD, keep=300)
     for k in range(3000):
-        e.encode(f"word{k} {'x' * (k % 300)}")
-    assert e.known.held <= 51_000 and len(e.known) < 300 and max(map(len, e.known)) <= 128
+        piece.encode(f"word{k} {'x' * (k % 300)}")
+        word.encode([f"word{k} {'x' * (k % 300)}"])
+    for cache in (piece.known, word.known):
+        assert len(cache) <= 301 and max(map(len, cache)) <= 64
