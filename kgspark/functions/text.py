@@ -32,9 +32,14 @@ def _canonical_udf(s: pd.Series) -> pd.Series:
     return s.map(_canonical)
 
 
+#: Texts that hold nothing to decode need no Python.
+_PLAIN = r"^[\x09-\x0D\x20-\x25\x27-\x7E]*$"
+
+
 def canonical_text(c: Column) -> Column:
     """Entities decoded (``&amp;`` twice), white space collapsed; for text that may hold entities."""
-    return _canonical_udf(c)
+    plain = c.rlike(_PLAIN)
+    return F.when(plain, collapse(c)).otherwise(_canonical_udf(F.when(~plain, c)))
 
 
 def analysis_text(c: Column) -> Column:
@@ -59,7 +64,9 @@ def _identity_udf(s: pd.Series) -> pd.Series:
 
 def identity_text(c: Column) -> Column:
     """Case-folded compatibility form, word characters only, joined by blanks."""
-    return _identity_udf(c)
+    plain = c.rlike(r"^[\x00-\x7F]*$")
+    words = F.array_join(F.regexp_extract_all(F.lower(c), F.lit("([a-z0-9_]+)"), F.lit(1)), " ")
+    return F.when(plain, words).otherwise(_identity_udf(F.when(~plain, c)))
 
 
 def digest(namespace: str, *values: Column) -> Column:
@@ -98,21 +105,49 @@ def label_segment(c: Column) -> Column:
     return F.replace(F.replace(F.replace(encoded, F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A")), F.lit("+"), F.lit("%20"))
 
 
+#: What a wiki text loses or keeps, in this order (links keep their label, italics and bold their text).
+WIKI_RULES = (
+    (r"\[\[([^>]+)>>[^\]]*\]\]", "$1"),
+    (r"\{\{[^}]*\}\}", ""),
+    (r"\(%[^)]*%\)", ""),
+    (r"//([^/]+)//", "$1"),
+    (r"\*\*([^*]+)\*\*", "$1"),
+)
+
+
 def strip_wiki(c: Column) -> Column:
-    """Wiki markup removed: images, macros, links to their labels, bold and italics, headings, blank runs."""
-    for pattern, to in (
-        (r"(?s)\[\[image:.*?\]\]", ""), (r"(?s)\{\{.*?\}\}", ""), (r"\[\[([^\]|>]*?)(?:>>|\|)[^\]]*\]\]", "$1"),
-        (r"\*\*|//|__", ""), (r"(?m)^=+\s*|\s*=+$", ""),
-    ):
+    """A wiki text as plain text; headings and lone marks stay as they are."""
+    for pattern, to in WIKI_RULES:
         c = F.regexp_replace(c, pattern, to)
     return collapse(c)
 
 
+@F.pandas_udf(StringType())
+def _unescape_udf(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: None if v is None else html.unescape(v))
+
+
+#: Link targets, and what a bare URL is made of.
+HREF, BARE_URL = r"""(?i)href\s*=\s*['"]([^'"]+)['"]""", r"(https?://[\p{L}\p{N}_\-.~:/?#\[\]@!$&'()*+,;=%]+)"
+
+
 def extract_urls(c: Column) -> Column:
-    """href targets first, then bare URLs, each once, in order."""
-    hrefs = F.regexp_extract_all(c, F.lit(r"""href=["']([^"']+)["']"""), F.lit(1))
-    bare = F.regexp_extract_all(c, F.lit(r"""(https?://[^\s"'<>]+)"""), F.lit(1))
-    return F.array_distinct(F.concat(F.filter(hrefs, lambda u: u.rlike("^https?://")), bare))
+    """Link targets first, then bare URLs, each once, in order; entities are decoded before."""
+    c = F.when(c.contains("&"), _unescape_udf(F.when(c.contains("&"), c))).otherwise(c)
+    return F.array_distinct(F.concat(F.regexp_extract_all(c, F.lit(HREF), F.lit(1)), F.regexp_extract_all(c, F.lit(BARE_URL), F.lit(1))))
+
+
+def register(spark) -> list[str]:
+    """Make the engine's scalar functions known to SQL; returns their names."""
+    from . import urls
+
+    table = {
+        "canonical_text": _canonical_udf, "identity_text": _identity_udf, "html_unescape": _unescape_udf,
+        "sanitize_url": urls._SANITIZED, "document_url": urls._KEY, "organization_url": urls._SITE, "page_canonical": urls._canonical_link, "page_text": urls._PAGE_TEXT,
+    }
+    for name, f in table.items():
+        spark.udf.register(name, f)
+    return sorted(table)
 
 
 def full_uri(c: Column, base: str) -> Column:

@@ -91,6 +91,70 @@ def _series(f):
     return run
 
 
+class _Text(HTMLParser):
+    """The blocks of a page's main part: headings, paragraphs, list items, cells and quotations outside of scripts, menus and the like."""
+
+    SKIP = {"script", "style", "noscript", "template", "nav", "header", "footer", "aside", "form", "button", "select", "svg", "iframe", "head"}
+    BLOCK = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "td", "th", "pre", "div", "article", "section", "main", "br", "figcaption", "dd", "dt"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.hidden, self.links, self.blocks, self.linked, self.main = [], 0, [""], [0], []
+
+    def _end_block(self):
+        if self.blocks[-1].strip():
+            self.blocks.append("")
+            self.linked.append(0)
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.SKIP:
+            self.hidden.append(tag)
+        elif tag in ("article", "main"):
+            self._end_block()
+            self.main.append([len(self.blocks) - 1, None])
+        elif tag in self.BLOCK:
+            self._end_block()
+        self.links += tag == "a"
+
+    def handle_endtag(self, tag):
+        if tag in self.hidden:
+            while self.hidden.pop() != tag:
+                pass
+        elif tag in self.BLOCK:
+            self._end_block()
+            if tag in ("article", "main") and self.main and self.main[-1][1] is None:
+                self.main[-1][1] = len(self.blocks) - 1
+        if tag == "a":
+            self.links = max(0, self.links - 1)
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.blocks[-1] += data
+            self.linked[-1] += len(data.strip()) * (self.links > 0)
+
+
+def main_text(page: str | None) -> str | None:
+    """The text of a page's main part, a line for each block, without its URLs; null if there is none.
+
+    Blocks that are mostly links are menus and go.  If the page marks an article or a main part, only that counts.
+    """
+    if not page:
+        return None
+    parser = _Text()
+    parser.feed(page)
+    parser.close()
+    lo, hi = parser.main[0] if parser.main else (0, None)
+    kept = [" ".join(re.sub(r"(?i)https?://\S+", "", b).split()) for b, n in list(zip(parser.blocks, parser.linked))[lo:hi] if 2 * n <= len(b.strip())]
+    return "\n".join(b for b in kept if b) or None
+
+
+_PAGE_TEXT = _series(main_text)
+
+
+def page_text(html: Column) -> Column:
+    return _PAGE_TEXT(html)
+
+
 _SANITIZED, _KEY, _SITE = _series(sanitized), _series(document_key), _series(organization_site)
 
 
@@ -165,6 +229,11 @@ def retry_after(header: Column, now: Column) -> Column:
 CONTENT_TYPES, MAX_RESPONSE = ("text/html", "application/xhtml+xml", "text/plain"), 5 * 1024 * 1024
 
 
+def decoded(body: Column) -> Column:
+    """The text of a body of at most MAX_RESPONSE bytes, bytes that are no UTF-8 replaced; null beyond that."""
+    return F.when(F.octet_length(body) <= MAX_RESPONSE, F.make_valid_utf8(body.cast("string")))
+
+
 def fetch_problem(content_type: Column, size: Column) -> Column:
     """unsupported_content, response_too_large or null."""
     kind = F.lower(F.trim(F.split_part(F.coalesce(content_type, F.lit("")), F.lit(";"), F.lit(1))))

@@ -15,11 +15,29 @@ from .registry import _I, _O, _Q, _add, _docs, _on, _pages, _resolved, _stamp
 _on(_docs, "src_scan", lambda d: d.select("doc_id", "source", F.octet_length("text").cast("long").alias("bytes")), "SELECT doc_id, source, CAST(strlen(text) AS BIGINT) AS bytes FROM documents")
 _on(_docs, "src_size_guard", lambda d: d.groupBy("source").agg(F.count_if(F.octet_length("text") > 4096).alias("too_large"), F.count("*").alias("n")), "SELECT source, count(*) FILTER (WHERE strlen(text) > 4096) AS too_large, count(*) AS n FROM documents GROUP BY 1")
 _on(_docs, "fetch_guard", lambda d: d.select("doc_id", U.fetch_problem(F.when(F.col("doc_id") % 3 == 0, "application/pdf").otherwise("Text/HTML; charset=x"), F.col("doc_id") * 40_000).alias("problem")), "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'unsupported_content' WHEN doc_id * 40000 > 5242880 THEN 'response_too_large' END AS problem FROM documents")
-_on(_docs, "wiki_clean", lambda d: d.select("doc_id", T.strip_wiki(F.concat(F.lit("== Head ==\n**bold** [[label>>Target.Page]] {{box}}x{{/box}} "), "source")).alias("clean")), "SELECT doc_id, 'Head bold label x ' || source AS clean FROM documents")
+def _wiki_text():
+    return F.concat(F.when(F.col("doc_id") % 2 == 0, "== Head == **bold**  [[label>>Target.Page]] {{box a=1/}}x (%style%)y //it// z__z a**b ").otherwise("https://a.org/x__y (% c %)t "), F.col("source"))
+
+
+_on(_docs, "wiki_clean", lambda d: d.select("doc_id", T.strip_wiki(_wiki_text()).alias("clean")), "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '== Head == bold label x y it z__z a**b ' ELSE 'https://a.org/x__y t ' END || source AS clean FROM documents")
 _on(_docs, "retry_after", lambda d: _stamp(d.select("doc_id", U.retry_after(F.when(F.col("doc_id") % 3 == 0, F.col("doc_id").cast("string")).when(F.col("doc_id") % 3 == 1, "Fri, 05 Jan 2024 10:00:00 GMT").otherwise("soon"), F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("retry_at"))), "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id), '%Y-%m-%d %H:%M:%S') WHEN 1 THEN '2024-01-05 10:00:00' END AS retry_at FROM documents")
 _on(_docs, "iri_valid", lambda d: d.select("doc_id", U.valid_iri(F.concat(F.lit("https://x.org/"), "source", F.when(F.col("doc_id") % 4 == 0, "%zz").when(F.col("doc_id") % 4 == 1, " y").otherwise("%20"))).alias("iri")), "SELECT doc_id, CASE WHEN doc_id % 4 >= 2 THEN 'https://x.org/' || source || '%20' END AS iri FROM documents")
 _on(_docs, "factor_label", lambda d: d.select("doc_id", T.factor_title(F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("loaded_language-"), "lang"))).alias("label")), "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Unknown' ELSE 'Loaded Language ' || upper(lang[1]) || lang[2:] END AS label FROM documents")
-_on(_docs, "date_norm", lambda d: d.select("doc_id", formats.any_date(F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("2024-03-0"), F.col("doc_id") % 9 + 1, F.lit("T10:00:00Z"))).when(F.col("doc_id") % 4 == 1, "March 5, 2024").when(F.col("doc_id") % 4 == 2, "05/03/2024").otherwise("1755002968")).alias("day")), "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '2024-03-0' || (doc_id % 9 + 1) WHEN 1 THEN '2024-03-05' WHEN 2 THEN '2024-03-05' END AS day FROM documents")
+#: How one day (D) is written, by doc_id, and whether it is a date at all.
+_DATES = [("yyyy-MM-dd'T'HH:mm:ss'Z'", True), ("MMMM d, yyyy", True), ("MM/dd/yyyy", True), ("'1755002968'", False), ("yyyy-MM-dd HH:mm:ss", True), ("EEE, dd MMM yyyy HH:mm:ss 'GMT'", True), ("MMM d yyyy", True), ("d MMMM yyyy", True), ("yyyyMMdd", True), ("yyyy-MM-dd 'or so'", False), ("yyyy-'02-31'", False), ("MMMM yyyy", False)]
+
+
+@_add("date_norm", f"SELECT doc_id, CASE WHEN doc_id % {len(_DATES)} NOT IN ({', '.join(str(k) for k, (_, good) in enumerate(_DATES) if not good)}) THEN strftime(DATE '2019-12-25' + CAST(doc_id % 700 AS INTEGER), '%Y-%m-%d') END AS day FROM documents")
+def _date_norm(spark, sf_dir):
+    d = _docs(spark, sf_dir).withColumn("t", F.date_add(F.lit("2019-12-25").cast("date"), (F.col("doc_id") % 700).cast("int")).cast("timestamp"))
+    text = F.coalesce(*[F.when(F.col("doc_id") % len(_DATES) == k, F.date_format("t", f)) for k, (f, _) in enumerate(_DATES)])
+    return d.select("doc_id", formats.any_date(text).alias("day"))
+
+
+_ITEM = '{"id":"1","title":"t","other":[1]}'
+_TEXTS = [f"[{_ITEM}, {_ITEM}]", f"[{_ITEM}] [{_ITEM}]", "{}", "", f"[{_ITEM} {_ITEM}]", "[]", f" \n[{_ITEM}]\n "]
+_on(_docs, "crd_parse", lambda d: formats.json_items(d.select(F.coalesce(*[F.when(F.col("doc_id") % 7 == k, F.lit(t)) for k, t in enumerate(_TEXTS)]).alias("value")), "id string, title string").groupBy("bad_file", "id", "title").agg(F.count("*").alias("n")), "WITH t AS (SELECT doc_id % 7 AS k FROM documents) SELECT false AS bad_file, '1' AS id, 't' AS title, CAST(sum(CASE k WHEN 0 THEN 2 ELSE 1 END) AS BIGINT) AS n FROM t WHERE k IN (0, 6) UNION ALL SELECT true, NULL, NULL, count(*) FROM t WHERE k IN (1, 2, 3, 4)")
+_on(_pages, "page_text", lambda p: p.select("page_id", U.page_text(F.concat(F.lit("<html><head><title>no</title><script>var no;</script></head><body><nav><a href=x>no</a></nav>"), F.when(F.col("page_id") % 3 == 0, "<div>no</div><article>").otherwise("<div>"), F.lit("<h1>Head &amp; more</h1><p>Page  <b>"), F.col("page_id").cast("string"), F.lit("</b> https://u.org/x end</p><ul><li><a href=y>only a link</a></li></ul>"), F.when(F.col("page_id") % 3 == 0, "</article><p>no</p>").otherwise("</div>"), F.lit("<footer>no</footer></body></html>"))).alias("text")), "SELECT page_id, 'Head & more' || chr(10) || 'Page ' || page_id || ' end' AS text FROM pages")
 _FIRST = "trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g'))"
 _BAD = f"({_FIRST} = '' OR NOT regexp_matches({_FIRST}, '[\\p{{L}}\\p{{N}}]'))"
 

@@ -182,14 +182,15 @@ _on(_catalog_triples, "org_catalog", lambda t: catalog.organization_catalog(t, "
 _on(_catalog_triples, "org_catalog_errors", lambda t: catalog.organization_catalog(t, "https://o.org/organization/")[1].groupBy("error").agg(F.count("*").alias("n")), "SELECT CASE page_id % 7 WHEN 1 THEN 'name' WHEN 2 THEN 'name' WHEN 3 THEN 'no_url' WHEN 4 THEN 'url_not_iri' WHEN 5 THEN 'url_invalid' ELSE 'site_shared' END AS error, count(*) AS n FROM pages WHERE page_id % 7 > 0 GROUP BY 1")
 
 
-@_add("defacto_normalize", f"SELECT CAST(doc_id AS VARCHAR) AS native_id, {_FIRST} AS claim_text, 'https://w.org/p/' || doc_id AS observed_url, 'https://' || lang || '.org' AS organization_site, 'bold ' || source AS review_text, '2024-03-05' AS date_published, 'not_a_url' AS none FROM documents WHERE NOT {_BAD} AND doc_id % 5 <> 0")
+@_add("defacto_normalize", f"SELECT 'xwiki:Medias.' || lang || '.p.' || doc_id AS native_id, {_FIRST} AS claim_text, 'https://w.org/p%20/' || doc_id AS observed_url, 'https://' || lang || '.org' AS organization_site, 'bold ' || source AS review_text, CASE WHEN doc_id % 2 = 0 THEN '2024-03-05' END AS date_published, 'https://w.org/p%20/' || doc_id AS appearances FROM documents WHERE NOT {_BAD} AND doc_id % 5 <> 0 AND doc_id % 7 <> 0")
 def _wiki(spark, sf_dir):
+    page = F.concat(F.when(F.col("doc_id") % 7 == 0, "xwiki:Other.").otherwise("xwiki:Medias."), "lang", F.lit(".p."), "doc_id")
     items = _docs(spark, sf_dir).select(
-        F.col("doc_id").cast("string").alias("id"), F.when(F.col("doc_id") % 2 == 0, " ").otherwise(_first()).alias("title"), _first().alias("rawTitle"), F.when(F.col("doc_id") % 5 == 0, "/relative").otherwise(F.concat(F.lit("https://w.org/p/"), "doc_id")).alias("absoluteUrl"),
-        F.concat(F.lit("**bold** "), "source").alias("content"), F.lit("2024-03-05T10:00:00Z").alias("created"), F.col("lang").alias("language"), F.concat(F.lit("https://www."), "lang", F.lit(".org/x")).alias("organization_url"),
+        page.alias("id"), F.when(F.col("doc_id") % 2 == 0, " ").otherwise(_first()).alias("title"), _first().alias("rawTitle"), F.when(F.col("doc_id") % 5 == 0, "/relative").otherwise(F.concat(F.lit("https://w.org/p /"), "doc_id")).alias("absoluteUrl"),
+        F.concat(F.lit("**bold** "), "source").alias("content"), F.when(F.col("doc_id") % 2 == 0, "2024-03-05T10:00:00Z").otherwise("soon").alias("created"), F.col("lang").alias("language"), F.concat(F.lit("https://www."), "lang", F.lit(".org/x")).alias("organization_url"),
     )
     x = formats.wiki_pages(spark, items, "wiki").filter(F.size("errors") == 0)
-    return x.select("native_id", "claim_text", "observed_url", "organization_site", "review_text", "date_published", F.lit("not_a_url").alias("none"))
+    return x.select("native_id", "claim_text", "observed_url", "organization_site", "review_text", "date_published", F.array_join("appearances", " ").alias("appearances"))
 
 
 _ITEMS = """WITH c AS (SELECT conv_id, list(text ORDER BY turn) FILTER (WHERE role = 'user') AS claims, list(text ORDER BY turn) FILTER (WHERE role = 'assistant') AS reviews FROM conversations GROUP BY 1),
@@ -222,25 +223,29 @@ def _turtle(spark, sf_dir, body):
 _TURTLE_CLAIM = f"SELECT *, {_FIRST} AS claim FROM documents WHERE NOT {_BAD}"
 
 
-@_add("desmog_normalize", f"SELECT 'https://t.org/c/' || doc_id AS native_id, claim AS claim_text, 'https://t.org/p/' || doc_id AS observed_url, 'https://' || lang || '.org' AS organization_site, lang AS language, 'https://a.org/1' AS appearances FROM ({_TURTLE_CLAIM}) WHERE doc_id % 3 <> 0 AND len(regexp_extract_all(claim, '[\\p{{L}}\\p{{N}}_]+')) >= 2 AND length(regexp_replace(claim, '[^\\p{{L}}\\p{{N}}]', '', 'g')) >= 4")
+@_add("desmog_normalize", f"SELECT 'https://t.org/c/' || doc_id AS native_id, claim AS claim_text, 'https://t.org/p/' || doc_id AS observed_url, 'https://' || lang || '.org' AS organization_site, lang AS language, '2024-0' || (doc_id % 9 + 1) AS date_published, 'https://c.org/' || doc_id || '?a=1&b=2 https://d.org/x https://a.org/' || doc_id || ' https://t.org/p/' || doc_id AS appearances FROM ({_TURTLE_CLAIM}) WHERE doc_id % 3 <> 0 AND len(regexp_extract_all(claim, '[\\p{{L}}\\p{{N}}_]+')) >= 2 AND length(regexp_replace(claim, '[^\\p{{L}}\\p{{N}}]', '', 'g')) >= 4")
 def _turtle_claims(spark, sf_dir):
     node = F.concat(F.lit("<https://t.org/c/"), "doc_id", F.lit("> a s:Claim ; s:abstract "))
     publisher = F.when(F.col("doc_id") % 3 == 0, F.lit('"no IRI"')).otherwise(F.concat(F.lit("<https://www."), "lang", F.lit(".org/x>")))
-    texts = _turtle(spark, sf_dir, lambda claim: F.concat(node, claim, F.lit(" ; s:url <https://t.org/p/"), "doc_id", F.lit("> ; s:archivedAt <https://a.org/1> ; s:publisher "), publisher, F.lit(' ; s:inLanguage "'), "lang", F.lit('" .')))
+    archive = F.concat(F.lit("<https://a.org/"), "doc_id", F.lit('> s:datePublished "2024-0'), F.col("doc_id") % 9 + 1, F.lit("\" ; s:citation '<a href=\"https://c.org/"), "doc_id", F.lit("?a=1&amp;b=2\">c</a> <a href=\"//d.org/x\">d</a>, ftp://no' .\n"))
+    texts = _turtle(spark, sf_dir, lambda claim: F.concat(archive, node, claim, F.lit(" ; s:url <https://t.org/p/"), "doc_id", F.lit("> ; s:archivedAt <https://a.org/"), "doc_id", F.lit("> ; s:publisher "), publisher, F.lit(' ; s:inLanguage "'), "lang", F.lit('" .')))
     x = formats.turtle_claims(spark, texts, "claims").filter(F.size("errors") == 0)
-    return x.select("native_id", "claim_text", "observed_url", "organization_site", "language", F.array_join("appearances", " ").alias("appearances"))
+    return x.select("native_id", "claim_text", "observed_url", "organization_site", "language", "date_published", F.array_join("appearances", " ").alias("appearances"))
 
 
-@_add("climafacts_normalize", f"SELECT 'https://t.org/r/' || doc_id AS native_id, claim AS claim_text, 'https://t.org/p/' || doc_id AS observed_url, 'https://' || lang || '.org' AS organization_site, CASE WHEN doc_id % 2 = 0 THEN 'not_credible' END AS label, '2024-03-05' AS date_published FROM ({_TURTLE_CLAIM}) WHERE doc_id % 5 <> 0")
+@_add("climafacts_normalize", f"""SELECT 'https://t.org/r/' || doc_id AS native_id, claim AS claim_text, 'https://t.org/p/' || doc_id AS observed_url, 'https://' || lang || '.org' AS organization_site, CASE WHEN doc_id % 2 = 0 THEN 'not_credible' END AS label, '2024-03-05' AS date_published,
+'One,two,k' || (doc_id % 4) AS keywords, 'Ann ' || lang || '|editor' AS authors, 'https://l.org/by' AS license_url, CASE WHEN doc_id % 2 = 0 THEN 1.5 END AS rating_value, CASE WHEN doc_id % 2 = 0 THEN 5.0 END AS best_rating, 'H' AS headline FROM ({_TURTLE_CLAIM}) WHERE doc_id % 5 <> 0""")
 def _turtle_reviews(spark, sf_dir):
-    node = F.concat(F.lit("<https://t.org/r/"), "doc_id", F.when(F.col("doc_id") % 5 == 0, "> a s:ClaimReview , s:Claim").otherwise("> a s:ClaimReview"), F.lit(" ; s:claimReviewed _:c ; s:publisher _:o ; s:reviewRating _:v ; s:dateCreated \"2024-03-05\" ; s:url <https://t.org/p/"), "doc_id", F.lit("> .\n_:c s:text \"falsch\"@de , "))
-    rest = F.concat(F.lit("@en .\n_:o s:url <https://www."), "lang", F.lit(".org/> .\n_:v s:name \""), F.when(F.col("doc_id") % 2 == 0, "False").otherwise("other"), F.lit('" .'))
+    node = F.concat(F.lit("<https://t.org/r/"), "doc_id", F.when(F.col("doc_id") % 5 == 0, "> a s:ClaimReview , s:Claim").otherwise("> a s:ClaimReview"), F.lit(" ; s:claimReviewed _:c ; s:author _:a ; s:author _:o ; s:reviewRating _:v ; s:license <https://l.org/by> ; s:keywords \"One, two ,ONE\" ; s:dateCreated \"2024-03-05\" ; s:url <https://t.org/p/"), "doc_id", F.lit("> .\n_:a a s:Person ; s:name \"Ann "), "lang", F.lit("\" ; s:url <https://ann.org> ; s:jobTitle \"editor\" .\n_:c s:keywords \"k"), F.col("doc_id") % 4, F.lit(",Two\" ; s:headline \"H\" ; s:text \"falsch\"@de , "))
+    rest = F.concat(F.lit("@en .\n_:o s:url <https://www."), "lang", F.lit(".org/> .\n_:v s:ratingValue 1.5 ; s:bestRating \"5\" ; s:name \""), F.when(F.col("doc_id") % 2 == 0, "False").otherwise("other"), F.lit('" .'))
     texts = _turtle(spark, sf_dir, lambda claim: F.concat(node, F.when(claim == '""', F.lit('" "')).otherwise(claim), rest))
-    x = formats.turtle_reviews(spark, texts, "reviews").filter(F.size("errors") == 0).filter(F.col("claim_text") != "falsch")
-    return x.select("native_id", "claim_text", "observed_url", "organization_site", "label", "date_published")
+    x = formats.turtle_reviews(spark, texts, "reviews").filter(F.size("errors") == 0).filter(~F.col("claim_text").isin("falsch", "H"))
+    return x.select(
+        "native_id", "claim_text", "observed_url", "organization_site", "label", "date_published", F.array_join("keywords", ",").alias("keywords"), F.array_join(F.transform("authors", lambda a: F.concat_ws("|", a["name"], a["role"])), ",").alias("authors"),
+        "license_url", "rating_value", "best_rating", "headline",
+    )
 
 
-# --- relational -------------------------------------------------------------------------------------------------------------------
 @_add("obs_with_extraction", _O + "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'content ' || doc_id END AS content FROM observations")
 def _obs_with_extraction(spark, sf_dir):
     o = V.observations(spark, sf_dir)

@@ -70,13 +70,26 @@ _on(_docs, "factor_iri", lambda d: d.select("doc_id", T.label_segment(F.concat(F
 _on(_docs, "full_uri", lambda d: d.select("doc_id", T.full_uri(F.concat(F.lit("claim/"), "doc_id"), V.BASE).alias("uri")), f"SELECT doc_id, '{V.BASE}/claim/' || doc_id AS uri FROM documents")
 _HOST = "lower(split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1))"
 _on(_pages, "org_url", lambda p: p.select("page_id", U.organization_url(F.col("url")).alias("site")), f"SELECT page_id, 'https://' || regexp_replace({_HOST}, '^www\\.', '') AS site FROM pages")
-_on(_pages, "url_sanitize", lambda p: p.select("page_id", U.sanitize_url(F.col("url")).alias("safe")), "SELECT page_id, url AS safe FROM pages")
-_on(_pages, "url_document_key", lambda p: p.select("page_id", U.document_url(F.col("url")).alias("document_key")), "SELECT page_id, split_part(url, '#', 1) AS document_key FROM pages")
-_on(_pages, "url_redact", lambda p: p.select("page_id", U.redact_credentials(F.regexp_replace("url", "://", "://user:secret@")).alias("redacted")), "SELECT page_id, url AS redacted FROM pages")
+
+
+def _by(*parts):
+    """One of the texts for each page, in turn."""
+    return F.coalesce(*[F.when(F.col("page_id") % len(parts) == k, x) for k, x in enumerate(parts)])
+
+
+def _odd_url():
+    rest = F.substr(F.col("url"), F.instr(F.col("url"), "://") + 3)
+    return _by(F.col("url"), F.concat(F.lit("https://u:p@"), rest), F.concat(F.lit("ftp://"), rest), F.concat(F.lit("https://a.org/x y/%zz%20/"), F.col("page_id")), F.concat(F.lit("https://a.org:port/"), F.col("page_id")), F.concat(F.lit("HTTPS://B.org:443/é#f"), F.col("page_id")))
+
+
+_SQL_REST = "substr(url, strpos(url, '://') + 3)"
+_on(_pages, "url_sanitize", lambda p: p.select("page_id", U.sanitize_url(_odd_url()).alias("safe")), f"SELECT page_id, CASE page_id % 6 WHEN 0 THEN url WHEN 1 THEN 'https://' || {_SQL_REST} WHEN 3 THEN 'https://a.org/x%20y/%25zz%20/' || page_id WHEN 5 THEN 'https://b.org:443/%C3%A9#f' || page_id END AS safe FROM pages")
+_on(_pages, "url_document_key", lambda p: p.select("page_id", U.document_url(_odd_url()).alias("document_key")), f"SELECT page_id, CASE page_id % 6 WHEN 0 THEN split_part(url, '#', 1) WHEN 1 THEN 'https://' || split_part({_SQL_REST}, '#', 1) WHEN 3 THEN 'https://a.org/x%20y/%25zz%20/' || page_id WHEN 5 THEN 'https://b.org/%C3%A9' END AS document_key FROM pages")
+_on(_pages, "url_redact", lambda p: p.select("page_id", U.redact_credentials(F.when(F.col("page_id") % 2 == 0, F.regexp_replace("url", "://", "://user:se@cret@")).otherwise(F.concat("url", F.lit("/@x")))).alias("redacted")), "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN url ELSE url || '/@x' END AS redacted FROM pages")
 _on(_pages, "url_origin", lambda p: p.select("page_id", U.origin(F.col("url")).alias("o")).select("page_id", "o.scheme", "o.host", "o.port"), f"SELECT page_id, split_part(url, ':', 1) AS scheme, {_HOST} AS host, CASE WHEN url LIKE 'https%' THEN 443 ELSE 80 END AS port FROM pages")
 _on(_pages, "page_challenge", lambda p: p.select("page_id", U.access_challenge(F.col("html"), F.col("url")).alias("challenge")), "SELECT page_id, " + " OR ".join(f"contains(lower(html), '{m.replace(chr(39), chr(39) * 2)}')" for m in U.STRONG_MARKS) + " OR (" + " + ".join(f"CAST(contains(lower(html), '{m}') AS INTEGER)" for m in U.SOFT_MARKS) + ") >= 2 AS challenge FROM pages")
-_on(_pages, "page_canonical", lambda p: p.select("page_id", U.page_canonical(F.col("html"), F.col("url")).alias("canonical_url")))
-_on(_pages, "extract_urls", lambda p: p.select("page_id", F.array_join(T.extract_urls(F.concat(F.lit('<a href="https://a.example.org/x">y</a> '), "url")), " ").alias("urls")), "SELECT page_id, 'https://a.example.org/x ' || url AS urls FROM pages")
+_on(_pages, "page_canonical", lambda p: p.select("page_id", U.page_canonical(_by(F.lit("<link rel='icon' href='/i'>"), F.concat(F.lit('<head><LINK REL="x Canonical" href=" /c?p='), F.col("page_id"), F.lit('"><link rel=canonical href="https://z.org/"></head>')), F.lit('<link rel=canonical href="ftp://x">')), F.lit("https://a.org/b/c")).alias("canonical_url")), "SELECT page_id, CASE WHEN page_id % 3 = 1 THEN 'https://a.org/c?p=' || page_id END AS canonical_url FROM pages")
+_on(_pages, "extract_urls", lambda p: p.select("page_id", F.array_join(T.extract_urls(F.concat(F.lit('<a HREF = "https://a.example.org/x?a=1&amp;b='), F.col("page_id"), F.lit("\">y</a> <a href='/rel'>z</a> (https://b.org/[1]) https://a.example.org/x?a=1&amp;b="), F.col("page_id"))), " ").alias("urls")), "SELECT page_id, 'https://a.example.org/x?a=1&b=' || page_id || ' /rel https://b.org/[1])' AS urls FROM pages")
 
 # --- observations ---------------------------------------------------------------------------------------------------
 _O = f"WITH {V.OBSERVATIONS_SQL}\n"

@@ -6,13 +6,16 @@ observation columns and ``errors``; rows with errors are the rejects and are nev
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
-from ..functions.text import canonical_text, claim_problem, digest, rating_label, strip_wiki
-from ..functions.urls import organization_url
+from ..functions.text import canonical_text, claim_problem, digest, extract_urls, rating_label, strip_wiki
+from ..functions.urls import organization_url, sanitize_url
 
 REVIEW_ITEM = """claim_text array<string>, review_url string, date_published string, language string, appearances array<string>,
 fact_checker struct<name string, country string, language string, website string>,
@@ -25,12 +28,37 @@ EVIDENCE = "claim_id string, claim string, claim_label string, evidences array<s
 EVIDENCE_LABELS = {"SUPPORTS": "credible", "REFUTES": "not_credible", "NOT_ENOUGH_INFO": "not_verifiable", "DISPUTED": "uncertain"}
 
 
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+_TIME = r"(?:[t\s]+\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:am|pm)?\s*(?:z|utc|gmt|[+-]\d{2}:?\d{2}|[+-]\d{2})?)?$"
+_DAY_NAME = r"^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+"
+_MONTH = r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)\.?"
+
+
 def any_date(c: Column) -> Column:
-    """A free-form date as YYYY-MM-DD; null if it is none."""
-    formats = ("yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "MMMM d, yyyy", "d MMMM yyyy", "MMM d, yyyy", "d MMM yyyy", "yyyyMMdd")
-    iso = F.to_date(F.try_to_timestamp(F.regexp_replace(c, r"(Z|[+-]\d\d:?\d\d)$", ""), F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]")))
-    tries = [F.expr("null").cast("date")] + [F.to_date(F.try_to_timestamp(F.trim(c), F.lit(f))) for f in formats]
-    return F.date_format(F.coalesce(iso, *tries), "yyyy-MM-dd")
+    """A free-form date, with or without a time, as YYYY-MM-DD; null if it is none.
+
+    Of numbers the month comes first unless it can't be one; a date needs day, month and year.
+    """
+    s = F.regexp_replace(F.lower(F.trim(c)), _DAY_NAME, "")
+    part = lambda pattern, k: F.nullif(F.regexp_extract(s, pattern, k), F.lit(""))
+    day = lambda y, m, d: F.to_date(F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("y-M-d")))
+    number = F.create_map(*[F.lit(x) for k, m in enumerate(_MONTHS, 1) for x in (m, str(k))])
+    ymd, flat, numeric = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _TIME, r"^(\d{4})(\d{2})(\d{2})" + _TIME, r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})" + _TIME
+    first, second = rf"^{_MONTH}\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}}),?" + _TIME, rf"^(\d{{1,2}})(?:st|nd|rd|th)?[\s-]+{_MONTH},?[\s-]+(\d{{4}}),?" + _TIME
+    swapped = part(numeric, 1).cast("int") > 12
+    found = (
+        F.when(s.rlike(ymd), day(part(ymd, 1), part(ymd, 2), part(ymd, 3)))
+        .when(s.rlike(flat), day(part(flat, 1), part(flat, 2), part(flat, 3)))
+        .when(s.rlike(numeric), day(part(numeric, 3), F.when(swapped, part(numeric, 2)).otherwise(part(numeric, 1)), F.when(swapped, part(numeric, 1)).otherwise(part(numeric, 2))))
+        .when(s.rlike(first), day(part(first, 3), number[F.left(part(first, 1), F.lit(3))], part(first, 2)))
+        .when(s.rlike(second), day(part(second, 3), number[F.left(part(second, 2), F.lit(3))], part(second, 1)))
+    )
+    return F.date_format(found, "yyyy-MM-dd")
+
+
+#: Further fields that a source may give an observation.
+AUTHORS = "array<struct<name:string,website:string,role:string,source_uri:string>>"
+DETAILS = {"description": "string", "abstract": "string", "headline": "string", "license_url": "string", "explanation": "string", "rating_value": "double", "best_rating": "double", "worst_rating": "double"}
 
 
 def blank(c: Column) -> Column:
@@ -47,13 +75,29 @@ def _errors(**rules: Column) -> Column:
     return F.filter(F.array(*[F.when(F.coalesce(broken, F.lit(True)), F.lit(name)) for name, broken in rules.items()]), lambda x: x.isNotNull())
 
 
+@F.pandas_udf(BooleanType())
+def _is_list(s: pd.Series) -> pd.Series:
+    def whole(text: str | None) -> bool:
+        try:
+            return isinstance(json.loads(text or ""), list)
+        except ValueError:  # empty, cut short, without a separator, or with more after its end
+            return False
+
+    return s.map(whole)
+
+
+def json_items(raw: DataFrame, schema: str) -> DataFrame:
+    """Items of texts (value) that hold one JSON array each; ``bad_file`` marks a text that isn't exactly one array, and such a text gives no items."""
+    checked = raw.select(_is_list("value").alias("good"), "value")
+    items = checked.select(F.when(F.col("good"), F.from_json("value", f"array<struct<{_typed(schema)}>>", {"mode": "PERMISSIVE"})).alias("items"), (~F.col("good")).alias("bad_file"))
+    return items.filter("bad_file or size(items) > 0").select(F.posexplode_outer("items").alias("item_index", "item"), "bad_file").select("item_index", "bad_file", "item.*")
+
+
 def _json_array(spark: SparkSession, path: str | DataFrame, schema: str) -> DataFrame:
-    """Items of files that hold one JSON array each; ``bad_file`` marks files that don't parse as one.  A table of items is taken as it is."""
+    """Items of files that hold one JSON array each.  A table of items is taken as it is."""
     if isinstance(path, DataFrame):
         return path.select(F.lit(0).alias("item_index"), F.lit(False).alias("bad_file"), *[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in path.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in _fields(schema)])
-    raw = spark.read.text(path, wholetext=True)
-    items = raw.select(F.from_json("value", f"array<struct<{_typed(schema)}>>", {"mode": "PERMISSIVE"}).alias("items"), (~F.trim("value").rlike(r"(?s)^\[.*\]$")).alias("bad_file"))
-    return items.select(F.posexplode_outer("items").alias("item_index", "item"), (F.col("bad_file") | F.col("items").isNull()).alias("bad_file")).select("item_index", "bad_file", "item.*")
+    return json_items(spark.read.text(path, wholetext=True), schema)
 
 
 def _fields(schema: str) -> list:
@@ -68,7 +112,8 @@ def _typed(schema: str) -> str:
 
 def _observations(x: DataFrame, source_name: str, source_type: str, **columns: Column) -> DataFrame:
     given = {c: F.lit(None).cast("string") for c in ("native_id", "review_text", "original_label", "date_published", "language", "organization_site")}
-    given |= {"appearances": F.array().cast("array<string>"), "discriminator": F.lit("")} | columns
+    given |= {"appearances": F.array().cast("array<string>"), "discriminator": F.lit(""), "keywords": F.array().cast("array<string>"), "authors": F.array().cast(AUTHORS)}
+    given |= {c: F.lit(None).cast(t) for c, t in DETAILS.items()} | columns
     x = x.select(*[c.alias(k) for k, c in given.items()])
     x = x.withColumn("claim_text", canonical_text(F.col("claim_text"))).withColumn("organization_site", organization_url(F.col("organization_site")))
     problem = claim_problem(F.col("claim_text"))
@@ -78,7 +123,7 @@ def _observations(x: DataFrame, source_name: str, source_type: str, **columns: C
     return x.select(
         F.lit(source_name).alias("source_name"), F.lit(source_type).alias("source_type"), F.when(blank(F.col("native_id")), other).otherwise(own).alias("record_key"),
         "native_id", "observed_url", "organization_site", "claim_text", F.concat(F.lit("claim/"), digest("claim", F.col("claim_text"))).alias("claim_uri"),
-        "review_text", "original_label", rating_label(F.col("original_label")).alias("label"), "date_published", "language", "appearances", "discriminator", errors.alias("errors"),
+        "review_text", "original_label", rating_label(F.col("original_label")).alias("label"), "date_published", "language", "appearances", "discriminator", "keywords", "authors", *[F.col(c).cast(t).alias(c) for c, t in DETAILS.items()], errors.alias("errors"),
     )
 
 
@@ -98,6 +143,7 @@ def review_items(spark: SparkSession, path: str, source_name: str) -> DataFrame:
         x, source_name, "review_items", claim_text=F.col("pair.c"), observed_url=F.col("review_url"), organization_site=F.col("fact_checker.website"), original_label=F.col("pair.r.original_label"),
         date_published=first_text(F.col("date_published"), F.col("pair.r.date_published")), language=first_text(F.col("language"), F.col("fact_checker.language")),
         appearances=F.filter(F.coalesce("appearances", F.array().cast("array<string>")), lambda u: u.isNotNull()), discriminator=F.col("pair_index").cast("string"), errors=F.col("errors"),
+        rating_value=F.col("pair.r.review_rating.ratingValue").try_cast("double"), best_rating=F.col("pair.r.review_rating.bestRating").try_cast("double"), worst_rating=F.col("pair.r.review_rating.worstRating").try_cast("double"),
     )
 
 
@@ -119,10 +165,13 @@ def debunks(spark: SparkSession, path: str, source_name: str) -> DataFrame:
 
 
 def wiki_pages(spark: SparkSession, path: str, source_name: str) -> DataFrame:
-    """Wiki pages: title before raw title, markup removed."""
+    """Wiki pages: title before raw title, markup removed; the organization is the page id's second part under ``xwiki:Medias``, with its site."""
     x = _json_array(spark, path, WIKI)
-    rules = _errors(not_a_list=F.col("bad_file"), id=blank(F.col("id")), url=~F.coalesce(F.col("absoluteUrl").rlike("^https?://[^/]+"), F.lit(False)))
-    return _observations(x.withColumn("errors", rules), source_name, "wiki_pages", native_id=F.col("id"), claim_text=first_text(F.col("title"), F.col("rawTitle")), observed_url=F.col("absoluteUrl"), organization_site=F.col("organization_url"), review_text=strip_wiki(F.col("content")), date_published=any_date(F.col("created")), language=F.col("language"), errors=F.col("errors"))
+    parts = F.split("id", r"\.")
+    known = (F.size(parts) >= 3) & (F.get(parts, F.lit(0)) == "xwiki:Medias") & (F.get(parts, F.lit(1)) != "") & F.col("organization_url").isNotNull()
+    url = F.when(F.col("absoluteUrl").rlike("^https?://[^/]+"), sanitize_url(F.col("absoluteUrl")))
+    rules = _errors(not_a_list=F.col("bad_file"), id=blank(F.col("id")), url=url.isNull(), organization=~F.coalesce(known, F.lit(False)))
+    return _observations(x.withColumn("errors", rules), source_name, "wiki_pages", native_id=F.col("id"), claim_text=F.trim(first_text(F.col("title"), F.col("rawTitle"))), observed_url=url, organization_site=F.col("organization_url"), review_text=F.nullif(strip_wiki(F.col("content")), F.lit("")), date_published=any_date(F.col("created")), language=F.col("language"), appearances=F.filter(F.array(url), lambda u: u.isNotNull()), errors=F.col("errors"))
 
 
 def evidence_lines(spark: SparkSession, path: str, source_name: str) -> DataFrame:
@@ -136,21 +185,40 @@ def evidence_lines(spark: SparkSession, path: str, source_name: str) -> DataFram
     return _observations(x.withColumn("errors", rules), source_name, "evidence_lines", native_id=F.col("claim_id"), claim_text=F.col("claim"), observed_url=F.concat(F.lit("urn:claim:"), "claim_id"), review_text=text, original_label=label, appearances=pages, language=F.lit("en"), errors=F.col("errors"))
 
 
+def _safe_urls(urls: Column) -> Column:
+    """http(s) URLs trimmed, with https where only ``//`` is given; the rest go."""
+    whole = F.transform(urls, lambda u: F.when(F.trim(u).startswith("//"), F.concat(F.lit("https:"), F.trim(u))).otherwise(F.trim(u)))
+    return F.filter(whole, lambda u: u.rlike("(?i)^https?://"))
+
+
 def turtle_claims(spark: SparkSession, path: str, source_name: str, schema: str = "https://schema.org/") -> DataFrame:
-    """``Claim`` resources of Turtle files with abstract, url and publisher."""
+    """``Claim`` resources of Turtle files with abstract, url and publisher; appearances are the URLs of the archived nodes' citations, these nodes' own URLs and the claim's."""
     from .turtle import RDF, read_turtle
 
     t = read_turtle(spark, path)
     claims = t.filter((F.col("p") == RDF + "type") & (F.col("o") == schema + "Claim") & ~F.col("s").startswith("_:")).select("s").distinct()
     pick = lambda name, kind=None: F.min(F.when((F.col("p") == schema + name) & (F.lit(True) if kind is None else F.col("o_kind") == kind), F.struct("pos", "o")))["o"]
-    x = t.join(claims, "s").groupBy("s").agg(pick("abstract").alias("abstract"), pick("url").alias("url"), pick("publisher", "iri").alias("publisher"), pick("inLanguage").alias("lang"), pick("description").alias("description"), F.collect_set(F.when(F.col("p") == schema + "archivedAt", F.col("o"))).alias("archived"))
+    x = t.join(claims, "s").groupBy("s").agg(pick("abstract").alias("abstract"), pick("url").alias("url"), pick("publisher", "iri").alias("publisher"), pick("inLanguage").alias("lang"), pick("description").alias("description"))
+    archived = t.join(claims, "s").filter(F.col("p") == schema + "archivedAt").select("s", F.col("o").alias("node"), F.col("o_kind").alias("node_kind"), F.col("pos").alias("at"))
+    nodes = t.filter(F.col("p").isin(*[schema + n for n in ("citation", "url", "datePublished")])).groupBy(F.col("s").alias("node")).agg(pick("citation").alias("citation"), pick("url").alias("node_url"), pick("datePublished").alias("node_date"))
+    own = F.coalesce(F.col("node_url"), F.when(F.col("node_kind") == "iri", F.col("node")))
+    urls = F.concat(extract_urls(F.coalesce("citation", F.lit(""))), F.array(own))
+    found = archived.join(nodes, "node", "left").select("s", "at", urls.alias("urls"), "node_date")
+    found = found.groupBy("s").agg(F.array_sort(F.collect_list(F.struct("at", "urls"))).alias("found"), F.min_by("node_date", "at").alias("date"))
+    x = x.join(found, "s", "left").withColumn("found", F.concat(F.flatten(F.transform(F.coalesce("found", F.array().cast("array<struct<at:long,urls:array<string>>>")), lambda f: f["urls"])), F.array("url")))
+    each = x.select("s", F.posexplode(_safe_urls(F.filter("found", lambda u: u.isNotNull()))).alias("at", "u")).withColumn("u", sanitize_url(F.col("u"))).filter("u is not null")
+    x = x.join(each.groupBy("s").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("at", "u"))), lambda e: e["u"])).alias("urls")), "s", "left")
     words, letters = F.size(F.regexp_extract_all("abstract", F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))), F.length(F.regexp_replace("abstract", r"[^\p{L}\p{N}]", ""))
     rules = _errors(abstract=blank(F.col("abstract")), url=blank(F.col("url")), publisher=blank(F.col("publisher")), fragment=(words < 2) | (letters < 4))
-    return _observations(x.withColumn("errors", rules), source_name, "turtle_claims", native_id=F.col("s"), claim_text=F.col("abstract"), observed_url=F.col("url"), organization_site=F.col("publisher"), review_text=F.col("description"), language=F.col("lang"), appearances=F.array_sort("archived"), errors=F.col("errors"))
+    return _observations(x.withColumn("errors", rules), source_name, "turtle_claims", native_id=F.col("s"), claim_text=F.col("abstract"), observed_url=F.col("url"), organization_site=F.col("publisher"), review_text=F.col("description"), date_published=F.col("date"), language=F.col("lang"), appearances=F.coalesce("urls", F.array().cast("array<string>")), errors=F.col("errors"))
 
 
 def turtle_reviews(spark: SparkSession, path: str, source_name: str, schema: str = "https://schema.org/") -> DataFrame:
-    """``ClaimReview`` resources that aren't claims: claim node, publisher or author node, rating node; English literals first."""
+    """``ClaimReview`` resources that aren't claims: claim node, publisher or author node, rating node; English literals first.
+
+    Authors that are persons become authors, and never the organization; the rating's numbers count only if its
+    label is a known one; keywords of review and claim are split at commas, each once in any case of letters.
+    """
     from .turtle import RDF, read_turtle
 
     t = read_turtle(spark, path)
@@ -158,14 +226,39 @@ def turtle_reviews(spark: SparkSession, path: str, source_name: str, schema: str
     reviews = kinds.filter(F.array_contains("kinds", schema + "ClaimReview") & ~F.array_contains("kinds", schema + "Claim") & ~F.col("s").startswith("_:")).select("s")
     rank = F.when(F.col("o_lang") == "en", 0).when(F.col("o_lang") == "en-us", 1).when(F.col("o_lang") == "en-gb", 2).otherwise(3)
     best = lambda *names: F.min(F.when(F.col("p").isin(*[schema + n for n in names]) & (F.trim("o") != ""), F.struct(rank.alias("r"), "pos", "o")))["o"]
-    nodes = t.groupBy("s").agg(best("text", "headline").alias("n_text"), best("url").alias("n_url"), best("name").alias("n_name")).withColumnRenamed("s", "node")
-    x = t.join(reviews, "s").groupBy("s").agg(best("url").alias("url"), best("claimReviewed").alias("claimed"), best("publisher", "author").alias("org"), best("reviewRating").alias("rated"), best("reviewBody", "text").alias("body"), best("dateCreated").alias("created"), best("inLanguage").alias("lang"))
-    for key in ("claimed", "org", "rated"):
-        own = nodes.select(F.col("node").alias(key), F.col("n_text").alias(f"{key}_text"), F.col("n_url").alias(f"{key}_url"), F.col("n_name").alias(f"{key}_name"))
-        x = x.join(own, key, "left")
+    every = lambda name: F.transform(F.array_sort(F.collect_list(F.when(F.col("p") == schema + name, F.struct("pos", "o")))), lambda k: k["o"])
+    nodes = t.groupBy(F.col("s").alias("node")).agg(
+        best("text", "headline").alias("n_text"), best("headline").alias("n_headline"), best("url").alias("n_url"), best("name").alias("n_name"), best("jobTitle").alias("n_role"),
+        best("ratingValue").alias("n_value"), best("bestRating").alias("n_best"), best("worstRating").alias("n_worst"), best("ratingExplanation").alias("n_why"), every("keywords").alias("n_keywords"), every("citation").alias("n_citation"),
+        F.max((F.col("p") == RDF + "type") & (F.col("o") == schema + "Person")).alias("n_person"),
+    )
+    authors = t.join(reviews, "s").filter(F.col("p").isin(schema + "author", schema + "publisher")).select("s", "pos", (F.col("p") == schema + "publisher").alias("publisher"), F.col("o").alias("node"), "o_kind").join(nodes, "node", "left")
+    person = F.struct(F.when(F.col("o_kind") == "literal", F.col("node")).otherwise(F.col("n_name")).alias("name"), F.col("n_url").alias("website"), F.col("n_role").alias("role"), F.when(F.col("o_kind") == "iri", F.col("node")).alias("source_uri"))
+    is_person = F.coalesce("n_person", F.lit(False)) & ~F.col("publisher")
+    site = F.coalesce("n_url", F.when(F.col("o_kind") == "iri", F.col("node")))
+    people = authors.groupBy("s").agg(
+        F.transform(F.array_sort(F.collect_list(F.when(is_person, F.struct("pos", person.alias("a"))))), lambda r: r["a"]).alias("authors"),
+        F.min(F.when(~is_person & site.isNotNull(), F.struct((~F.col("publisher")).alias("later"), "pos", site.alias("site"))))["site"].alias("site"),
+    )
+    x = t.join(reviews, "s").groupBy("s").agg(
+        best("url").alias("url"), best("claimReviewed").alias("claimed"), best("reviewRating").alias("rated"), best("reviewBody", "text").alias("body"), best("description").alias("description"), best("abstract").alias("abstract"),
+        best("dateCreated").alias("created"), best("inLanguage").alias("lang"), best("license").alias("license"), every("keywords").alias("words"),
+    ).join(people, "s", "left")
+    for key in ("claimed", "rated"):
+        x = x.join(nodes.select(F.col("node").alias(key), *[F.col(c).alias(f"{key}_{c[2:]}") for c in nodes.columns if c != "node"]), key, "left")
     claim = first_text(F.col("claimed_text"), F.when(~F.col("claimed").rlike("^(https?://|_:)"), F.col("claimed")))
+    no_texts = F.array().cast("array<string>")
+    words = F.filter(F.transform(F.flatten(F.transform(F.concat(F.coalesce("words", no_texts), F.coalesce("claimed_keywords", no_texts)), lambda k: F.split(k, ","))), lambda k: F.trim(k)), lambda k: k != "")
+    low = F.transform(words, F.lower)
+    keywords = F.filter(words, lambda k, i: F.array_position(low, F.lower(k)) == i + 1)
+    known = rating_label(F.col("rated_name")).isNotNull()
+    number = lambda c: F.when(known, F.col(c).try_cast("double"))
     rules = _errors(claim=blank(claim), url=blank(F.col("url")))
-    return _observations(x.withColumn("errors", rules), source_name, "turtle_reviews", native_id=F.col("s"), claim_text=claim, observed_url=F.col("url"), organization_site=first_text(F.col("org_url"), F.col("org")), original_label=F.col("rated_name"), review_text=F.col("body"), date_published=any_date(F.col("created")), language=F.col("lang"), errors=F.col("errors"))
+    return _observations(
+        x.withColumn("errors", rules), source_name, "turtle_reviews", native_id=F.col("s"), claim_text=claim, observed_url=F.col("url"), organization_site=F.col("site"), original_label=F.col("rated_name"), review_text=F.col("body"),
+        date_published=any_date(F.col("created")), language=F.col("lang"), description=F.col("description"), abstract=F.col("abstract"), headline=F.col("claimed_headline"), license_url=F.col("license"), keywords=keywords, authors=F.coalesce("authors", F.array().cast(AUTHORS)),
+        rating_value=number("rated_value"), best_rating=number("rated_best"), worst_rating=number("rated_worst"), explanation=F.when(known, F.col("rated_why")), appearances=_safe_urls(F.coalesce("claimed_citation", no_texts)), errors=F.col("errors"),
+    )
 
 
 FORMATS = {f.__name__: f for f in (review_items, articles, debunks, wiki_pages, evidence_lines, turtle_claims, turtle_reviews)}

@@ -154,7 +154,7 @@ def test_formats(spark, tmp_path):
     assert [(r.claim_text, r.date_published, r.label) for r in good.collect()] == [("Some & text", "2024-03-05", "not_credible")] and bad.count() == 1
     good, _ = formats.read_source(spark, "debunks", put("c.json", [{"id": "1", "externalUrl": "https://d.org/p", "headline": "H", "reviewBody": "B", "itemReviewed": {"text": "a claim"}, "language": ["fr", "en"], "dateCreated": "2024-02-03T10:00:00Z"}]), "s")
     assert [(r.review_text, r.language, r.date_published) for r in good.collect()] == [("H\nB", "fr", "2024-02-03")]
-    good, bad = formats.read_source(spark, "wiki_pages", put("d.json", [{"id": "p1", "title": "", "rawTitle": "Raw title", "absoluteUrl": "https://w.org/1", "content": "**Bold** [[label>>target]] {{macro/}}"}, {"id": "p2", "title": "x", "absoluteUrl": "/rel"}]), "s")
+    good, bad = formats.read_source(spark, "wiki_pages", put("d.json", [{"id": "xwiki:Medias.M.p1", "organization_url": "https://m.org", "title": "", "rawTitle": "Raw title", "absoluteUrl": "https://w.org/1", "content": "**Bold** [[label>>target]] {{macro/}}"}, {"id": "xwiki:Medias.M.p2", "organization_url": "https://m.org", "title": "x", "absoluteUrl": "/rel"}]), "s")
     assert [(r.claim_text, r.review_text) for r in good.collect()] == [("Raw title", "Bold label")] and bad.count() == 1
     good, bad = formats.read_source(spark, "evidence_lines", put("e.jsonl", json.dumps({"claim_id": "0", "claim": "Ice melts", "claim_label": "SUPPORTS", "evidences": [{"article": "Sea ice", "evidence": "e1"}, {"article": "Sea ice", "evidence": "e2"}]}) + "\nnot json\n"), "s")
     assert [(r.label, r.review_text, r.appearances) for r in good.collect()] == [("credible", "1. e1\n2. e2", ["https://en.wikipedia.org/wiki/Sea_ice"])] and bad.count() == 1
