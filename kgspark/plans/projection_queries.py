@@ -281,3 +281,52 @@ def _cache_key(spark, sf_dir):
 def _short(spark, sf_dir):
     x = enrichment.skip_short(_docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("subject_key"), F.col("text").alias("input")))
     return x.select("subject_key", F.col("payload").isNotNull().alias("skipped"))
+
+
+# --- identity over URLs and hashes, and its memory --------------------------------------------------------------------------
+def _chained(spark, sf_dir):
+    """Documents 2k and 2k + 1 share a canonical URL, 2k - 1 and 2k a text, but for ids divisible by 3."""
+    n = F.col("doc_id")
+    o = V.observations(spark, sf_dir).select("doc_id", "record_key", "claim_uri", "observed_url", "document_key", F.lit("org/x").alias("organization_uri"), F.lit("text").alias("source_text"), F.lit(1).alias("words"))
+    return o.withColumns({"canonical_url": F.concat(F.lit("HTTPS://C.org:443/"), F.floor(n / 2)), "final_url": F.lit(None).cast("string"), "text_hash": F.when(n % 3 != 0, F.sha2(F.floor((n + 1) / 2).cast("string"), 256))})
+
+
+_UUID = "regexp_replace(substr({0}, 1, 32), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
+_CHAIN = _O.rstrip() + f""",
+b AS (SELECT doc_id, record_key, claim_uri, observed_url, CASE WHEN doc_id % 2 = 1 OR (doc_id > 0 AND doc_id % 3 <> 0 AND (doc_id - 1) % 3 <> 0) THEN 0 ELSE 1 END AS first FROM observations),
+k AS (SELECT *, sum(first) OVER (ORDER BY doc_id) AS run FROM b), m AS (SELECT *, min(record_key) OVER (PARTITION BY run) AS founder FROM k),
+ch AS (SELECT *, {_UUID.format("sha256(CAST(to_json(['document', 'org/x', founder]) AS VARCHAR))")} AS document_id FROM m)
+"""
+
+
+@_add("identity_chain", _CHAIN + "SELECT record_key, document_id FROM ch")
+def _chain(spark, sf_dir):
+    return identity.resolve(_chained(spark, sf_dir)).select("record_key", "document_id")
+
+
+@_add("identity_memory", _CHAIN + "SELECT 'n' || record_key AS record_key, document_id FROM ch WHERE doc_id % 4 = 0")
+def _memory(spark, sf_dir):
+    """A later run that holds none of the first one's observations, only new ones of every fourth URL."""
+    first = identity.resolve(_chained(spark, sf_dir))
+    known = identity.new_evidence(first, None)
+    later = _chained(spark, sf_dir).filter("doc_id % 4 = 0").withColumns({"record_key": F.concat(F.lit("n"), "record_key"), "text_hash": F.lit(None).cast("string"), "canonical_url": F.lit(None).cast("string")})
+    return identity.resolve(later, None, known).select("record_key", "document_id")
+
+
+@_add("identity_table", _CHAIN + "SELECT document_id, 'HTTPS://C.org:443/' || CAST(min(doc_id // 2) AS VARCHAR) AS preferred_url, 0 AS preferred_url_rank, min(CASE WHEN doc_id % 3 <> 0 THEN sha256(CAST((doc_id + 1) // 2 AS VARCHAR)) END) AS text_hash FROM ch GROUP BY 1 HAVING max(doc_id // 2) < 10 OR min(doc_id // 2) >= 10 AND max(doc_id // 2) < 100")
+def _documents(spark, sf_dir):
+    """The table after two runs: the first saw every second observation by its observed URL alone."""
+    now, r = F.lit("2024-01-01 00:00:00").cast("timestamp"), identity.resolve(_chained(spark, sf_dir))
+    early = r.filter("doc_id % 2 = 0").withColumns({"canonical_url": F.lit(None).cast("string"), "text_hash": F.lit(None).cast("string"), "words": F.lit(0)})
+    table = identity.absorb_documents(spark.createDataFrame([], identity.DOCUMENTS), early, now)
+    table = identity.absorb_documents(table, r, now)
+    numbers = r.groupBy("document_id").agg(F.min(F.floor(F.col("doc_id") / 2)).alias("a"), F.max(F.floor(F.col("doc_id") / 2)).alias("b")).filter("b < 10 or a >= 10 and b < 100")
+    return table.join(numbers, "document_id").select("document_id", "preferred_url", "preferred_url_rank", "text_hash")
+
+
+@_add("identity_broken", _W + "SELECT record_key, CASE WHEN doc_id % 2 = 0 THEN 'other_organization' ELSE 'missing_review' END AS problem FROM w WHERE NOT (doc_id % 2 = 0 AND lang = 'en')")
+def _broken(spark, sf_dir):
+    r = _resolved(spark, sf_dir).withColumn("document_id", F.concat("document_id", F.col("doc_id") % 2))
+    even, odd = r.filter("doc_id % 2 = 0").withColumn("claim_review_id", F.lit(None).cast("string")), r.filter("doc_id % 2 = 1")
+    documents = even.select("document_id").distinct().withColumn("organization_uri", F.lit("org/en"))
+    return identity.broken_references(even.unionByName(odd), documents, r.select("claim_review_id").limit(0))
