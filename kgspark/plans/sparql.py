@@ -2,8 +2,12 @@
 
 Taken: PREFIX; SELECT [DISTINCT] of variables and aggregates; ASK; groups with ``;`` lists and
 ``a``; GRAPH; OPTIONAL; UNION; sub-SELECT; VALUES; BIND; FILTER; path alternatives; COUNT; GROUP BY,
-ORDER BY, LIMIT; STR, STRAFTER, STRSTARTS.  Patterns join on the variables they share; a pattern that
-shares none is refused.  Patterns outside GRAPH see the merge of all graphs, each triple once.
+ORDER BY, LIMIT; STR, STRAFTER, STRSTARTS.  A variable is a column of terms, struct(kind, value,
+datatype), so an IRI never equals a literal; results show the terms' values.  Parts of a group are
+joined in their order, but inner joins between two OPTIONALs or BINDs go where variables are
+shared.  Variables that may be unbound are compatible with anything, as SPARQL has it; they need
+another, surely bound variable to join on.  A join without one is refused, as it would be a cross
+product.  Patterns outside GRAPH see the merge of all graphs, each triple once.
 """
 
 from __future__ import annotations
@@ -48,14 +52,14 @@ class _Parser:
         if t[0] == "?":
             return "var", t[1:]
         if t[0] == "<":
-            return "const", t[1:-1]
+            return "iri", t[1:-1]
         if t[0] == '"':
-            return "const", t[1:-1]
+            return "literal", re.sub(r"\\(.)", lambda m: {"n": "\n", "t": "\t", "r": "\r"}.get(m[1], m[1]), t[1:-1])
         if t == "a":
-            return "const", RDF_TYPE
+            return "iri", RDF_TYPE
         if ":" in t:
             prefix, _, local = t.partition(":")
-            return "const", self.prefixes[prefix] + local
+            return "iri", self.prefixes[prefix] + local
         raise ValueError(f"no term: {t!r}")
 
     def query(self):
@@ -143,7 +147,7 @@ class _Parser:
                 var, values = self.take()[1:], []
                 self.take("{")
                 while self.peek() != "}":
-                    values.append(self.term()[1])
+                    values.append(self.term())
                 self.take("}")
                 parts.append(("values", var, values))
             elif w == "BIND":
@@ -190,95 +194,184 @@ class _Parser:
         return parts
 
 
+def _term(kind: str, value: Column, datatype: Column | None = None) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), value.alias("value"), (F.lit("") if datatype is None else datatype).alias("datatype"))
+
+
+class _Rows:
+    """Bindings: a column of terms for each variable, and the variables that may be unbound."""
+
+    def __init__(self, df: DataFrame, loose: set[str]):
+        self.df, self.loose = df, loose
+
+    @property
+    def names(self) -> list[str]:
+        return self.df.columns
+
+    def sure(self) -> set[str]:
+        return set(self.names) - self.loose
+
+
 class _Compiler:
     def __init__(self, quads: DataFrame):
         self.quads = quads
         self.merged = quads.select("s", "p", "o", "o_kind", "o_datatype")
 
-    def triple(self, part, graph) -> DataFrame:
+    def triple(self, part, graph) -> _Rows:
         _, *terms = part
         conditions, shown, source = F.lit(True), {}, self.merged if graph is None else self.quads
-        places = list(zip("spo", terms)) + ([("graph", graph)] if graph else [])
-        for place, (kind, value) in places:
-            if kind == "const":
-                conditions &= F.col(place) == value
-            elif kind == "any":
+        at = {place: _term("iri", F.col(place)) for place in ("s", "p", "graph")} | {"o": F.struct(F.col("o_kind").alias("kind"), F.col("o").alias("value"), F.col("o_datatype").alias("datatype"))}
+        for place, (kind, value) in list(zip("spo", terms)) + ([("graph", graph)] if graph else []):
+            if kind == "any":
                 conditions &= F.col(place).isin(*value)
-            elif value in shown:
-                conditions &= F.col(place) == F.col(shown[value])
+            elif kind == "var" and value in shown:
+                conditions &= at[place] == shown[value]
+            elif kind == "var":
+                shown[value] = at[place]
             else:
-                shown[value] = place
+                conditions &= F.col(place) == value
+                if place == "o":
+                    conditions &= (F.col("o_kind") == kind) & (F.lit(kind == "iri") | (F.col("o_datatype") == ""))
         found = source.filter(conditions)
         if graph is None:
             found = found.distinct()  # the merge of graphs has each triple once; after the filter, so only what is needed is compared
-        return found.select(*[F.col(place).alias(v) for v, place in shown.items()])
+        return _Rows(found.select(*[c.alias(v) for v, c in shown.items()]), set())
 
-    def join(self, left: DataFrame | None, right: DataFrame, how: str = "inner") -> DataFrame:
+    def join(self, left: _Rows | None, right: _Rows, how: str = "inner", filters=()) -> _Rows:
         if left is None:
-            return right
-        shared = [c for c in left.columns if c in right.columns]
-        if not shared:
-            raise ValueError("patterns that share no variable would be a cross product")
-        return left.join(right, shared, how)
-
-    def group(self, parts, graph=None) -> DataFrame:
-        out, filters = None, []
-        rank = {"values": 2, "bind": 3, "optional": 2}
-        for part in sorted(parts, key=lambda p: rank.get(p[0], 1)):
+            if how == "inner":
+                return right
+            raise ValueError("OPTIONAL needs something before it")
+        shared = [c for c in left.names if c in right.names]
+        firm = [c for c in shared if c in left.sure() and c in right.sure()]
+        if not firm:
+            raise ValueError("patterns that share no surely bound variable would be a cross product")
+        r = right.df.select(*[F.col(c).alias(f"_{c}") for c in right.names])
+        on = F.lit(True)
+        for c in shared:
+            on &= (F.col(c) == F.col(f"_{c}")) if c in firm else (F.col(c).isNull() | F.col(f"_{c}").isNull() | (F.col(c) == F.col(f"_{c}")))
+        for f in filters:
+            on &= self.value(f, lambda v: F.col(v) if v in left.names else F.col(f"_{v}"))
+        both = left.df.join(r, on, how)
+        out = [(F.coalesce(c, f"_{c}") if c in shared else F.col(c)).alias(c) for c in left.names] + [F.col(f"_{c}").alias(c) for c in right.names if c not in shared]
+        own = set(right.names) - set(shared)
+        if how == "left":
+            loose = left.loose | own
+        else:
+            loose = (left.loose & right.loose) | (left.loose - set(shared)) | (right.loose & own)
+        return _Rows(both.select(*out), loose)
+
+    def joined(self, out: _Rows | None, parts: list[_Rows]) -> _Rows | None:
+        """All inner parts with what is there, each as soon as it shares a variable."""
+        left = list(parts)
+        while left:
+            nxt = next((p for p in left if out is None or out.sure() & p.sure()), left[0])
+            left.remove(nxt)
+            out = self.join(out, nxt)
+        return out
+
+    def group(self, parts, graph=None) -> tuple[_Rows, list]:
+        """The group's bindings, and its filters that speak of variables from outside."""
+        out, pending, filters = None, [], []
+        for part in parts:
             kind = part[0]
             if kind == "triple":
-                out = self.join(out, self.triple(part, graph))
+                pending.append(self.triple(part, graph))
             elif kind == "graph":
-                out = self.join(out, self.group(part[2], part[1]))
+                pending.append(self.closed(part[2], part[1]))
             elif kind == "sub":
-                out = self.join(out, self.select(part[1], graph))
-            elif kind == "optional":
-                out = self.join(out, self.group(part[1], graph), "left")
+                df = self.select(part[1], graph, terms=True)
+                pending.append(_Rows(df, self.loose_of(part[1], graph)))
             elif kind == "union":
-                own = [self.group(g, graph) for g in part[1]]
-                union = own[0]
+                own = [self.closed(g, graph) for g in part[1]]
+                df, names = own[0].df, {c for g in own for c in g.names}
                 for g in own[1:]:
-                    union = union.unionByName(g, allowMissingColumns=True)
-                out = self.join(out, union)
+                    df = df.unionByName(g.df, allowMissingColumns=True)
+                pending.append(_Rows(df, {c for c in names if any(c in g.loose or c not in g.names for g in own)}))
             elif kind == "values":
-                out = out.filter(F.col(part[1]).isin(*part[2]))
-            elif kind == "bind":
-                out = out.withColumn(part[1], self.value(part[2]))
-            else:
+                spark = self.quads.sparkSession
+                table = spark.createDataFrame([((k, v, ""),) for k, v in part[2]], f"`{part[1]}` struct<kind:string,value:string,datatype:string>")
+                pending.append(_Rows(F.broadcast(table), set()))
+            elif kind == "filter":
                 filters.append(part[1])
-        for f in filters:
-            out = out.filter(self.value(f))
-        return out
+            else:
+                out, pending = self.joined(out, pending), []
+                if kind == "optional":
+                    inner, outer = self.group(part[1], graph)
+                    out = self.join(out, inner, "left", outer)
+                elif part[1] in out.names:
+                    raise ValueError(f"?{part[1]} is bound already")
+                else:
+                    out = _Rows(out.df.withColumn(part[1], self.term(part[2])), out.loose | ({part[1]} if part[2][0] not in ("iri", "literal") else set()))
+        out = self.joined(out, pending)
+        if out is None:
+            raise ValueError("an empty group")
+        known = [f for f in filters if self.variables(f) <= set(out.names)]
+        for f in known:
+            out = _Rows(out.df.filter(self.value(f)), out.loose)
+        return out, [f for f in filters if f not in known]
+
+    def closed(self, parts, graph=None) -> _Rows:
+        out, open_ = self.group(parts, graph)
+        # a filter on a variable that is bound nowhere is an error, which drops every solution
+        return _Rows(out.df.filter(F.lit(False)), out.loose) if open_ else out
 
-    def value(self, e) -> Column:
+    def variables(self, e) -> set[str]:
+        kind, *args = e
+        if kind == "var":
+            return {args[0]}
+        return set().union(*(self.variables(a) for a in args if isinstance(a, tuple))) if kind not in ("iri", "literal") else set()
+
+    def term(self, e) -> Column:
+        """An expression as a term; null if it has no value."""
         kind, *args = e
         if kind == "var":
             return F.col(args[0])
-        if kind == "const":
+        if kind in ("iri", "literal"):
+            return _term(kind, F.lit(args[0]))
+        value = self.value(e)
+        return F.when(value.isNotNull(), _term("literal", value))
+
+    def value(self, e, column=F.col) -> Column:
+        kind, *args = e
+        if kind == "var":
+            return column(args[0])["value"]
+        if kind in ("iri", "literal"):
             return F.lit(args[0])
         if kind == "str":
-            return self.value(args[0])
+            return self.value(args[0], column)
         if kind == "strstarts":
-            return self.value(args[0]).startswith(self.value(args[1]))
+            return self.value(args[0], column).startswith(self.value(args[1], column))
         if kind == "strafter":
-            text, mark = self.value(args[0]), self.value(args[1])
+            text, mark = self.value(args[0], column), self.value(args[1], column)
             at = F.instr(text, args[1][1])
             return F.when(text.isNull(), None).when(at > 0, F.substr(text, at + F.length(mark))).otherwise("")
         raise ValueError(f"no such function: {kind}")
 
-    def select(self, query, graph=None) -> DataFrame:
+    def loose_of(self, query, graph) -> set[str]:
+        rows = self.closed(query[3], graph)
+        return {name for name, e in query[2] if e[0] == "var" and (e[1] in rows.loose or e[1] not in rows.names)}
+
+    def select(self, query, graph=None, terms: bool = False) -> DataFrame:
+        """The bindings shown, as values or as terms."""
         _, distinct, shown, body, groups, order, limit = query
-        rows = self.group(body, graph)
+        rows = self.closed(body, graph).df
+        named = {v for _, e in shown for v in (self.variables(e[2]) if e[0] == "count" and e[2][0] != "star" else set() if e[0] == "count" else self.variables(e))} | set(groups)
+        nothing = F.lit(None).cast("struct<kind:string,value:string,datatype:string>")
+        rows = rows.withColumns({v: nothing for v in named if v not in rows.columns}) if named - set(rows.columns) else rows
         counts = [(name, e) for name, e in shown if e[0] == "count"]
         if counts or groups:
-            missing = [e[2][1] for _, e in counts if e[2][0] == "var" and e[2][1] not in rows.columns]
-            rows = rows.withColumns({v: F.lit(None).cast("string") for v in missing}) if missing else rows
-            aggregates = [(F.count(F.lit(1)) if e[2][0] == "star" else F.count_distinct(self.value(e[2])) if e[1] else F.count(self.value(e[2]))).alias(name) for name, e in counts]
-            rows = rows.groupBy(*groups).agg(*aggregates)
+            one = lambda e: F.lit(1) if e[2][0] == "star" else self.term(e[2])
+            rows = rows.groupBy(*groups).agg(*[(F.count_distinct(one(e)) if e[1] else F.count(one(e))).alias(name) for name, e in counts])
+            rows = rows.select(*[F.col(name) if e[0] == "count" else F.col(e[1]).alias(name) for name, e in shown])
         else:
-            rows = rows.select(*[self.value(e).alias(name) for name, e in shown])
-        rows = rows.select(*[name for name, _ in shown])
+            rows = rows.select(*[self.term(e).alias(name) for name, e in shown])
         rows = rows.distinct() if distinct else rows
+        plain = [name for name, e in shown if e[0] != "count"]
+        if terms and not order and limit is None:
+            number = lambda n: F.when(F.col(n).isNotNull(), _term("literal", F.col(n).cast("string"), F.lit("http://www.w3.org/2001/XMLSchema#integer")))
+            return rows.select(*[F.col(n) if n in plain else number(n).alias(n) for n in rows.columns])
+        rows = rows if terms else rows.select(*[F.col(n)["value"].alias(n) if n in plain else F.col(n) for n in rows.columns])
         if order:
             ties = [c for c in rows.columns if c not in [v for v, _ in order]] if limit is not None else []
             rows = rows.orderBy(*[F.col(v).desc_nulls_last() if down else F.col(v).asc_nulls_first() for v, down in order], *ties)
@@ -290,5 +383,5 @@ def sparql(quads: DataFrame, text: str) -> DataFrame:
     query = _Parser(text).query()
     compiler = _Compiler(quads)
     if query[0] == "ask":
-        return compiler.group(query[1]).limit(1).agg((F.count("*") > 0).alias("answer"))
+        return compiler.closed(query[1]).df.limit(1).agg((F.count("*") > 0).alias("answer"))
     return compiler.select(query)

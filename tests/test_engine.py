@@ -131,6 +131,48 @@ def test_sparql_subset(spark):
     assert [tuple(r) for r in graph_queries.class_distribution(tiny).collect()] == [(views.SCHEMA + "Claim", 2)]
 
 
+def _graph(spark, *rows):
+    """Quads of (s, p, o[, kind[, datatype[, graph]]])."""
+    full = [(r[5] if len(r) > 5 else "g", r[0], r[1], r[2], r[3] if len(r) > 3 else "iri", r[4] if len(r) > 4 else "") for r in rows]
+    return spark.createDataFrame(full, "graph string, s string, p string, o string, o_kind string, o_datatype string")
+
+
+def _answers(q, text):
+    return sorted((tuple(r) for r in sparql.sparql(q, text).collect()), key=repr)
+
+
+def test_sparql_terms_have_kinds(spark):
+    q = _graph(spark, ("a", "p", "http://x/", "literal"), ("b", "p", "http://x/"), ("c", "p", "1", "literal", "xsd:int"), ("d", "p", "1", "literal"), ("http://x/", "r", "z"))
+    assert _answers(q, "SELECT ?s WHERE { ?s <p> <http://x/> }") == [("b",)] and _answers(q, 'SELECT ?s WHERE { ?s <p> "http://x/" }') == [("a",)]
+    assert _answers(q, 'SELECT ?s WHERE { ?s <p> "1" }') == [("d",)]
+    assert _answers(q, "SELECT ?s ?z WHERE { ?s <p> ?o . ?o <r> ?z }") == [("b", "z")]
+    assert _answers(q, "SELECT (COUNT(DISTINCT ?o) AS ?n) WHERE { ?s <p> ?o }") == [(4,)]
+
+
+def test_sparql_unbound_variables_order_and_values(spark):
+    q = _graph(spark, ("a", "t", "T"), ("b", "t", "T"), ("c", "t", "T"), ("a", "p", "1"), ("a", "q", "2"), ("b", "q", "3"), ("1", "n", "N1"), ("3", "n", "N3"))
+    two = "SELECT ?x ?y WHERE { ?x <t> <T> . OPTIONAL { ?x <p> ?y } OPTIONAL { ?x <q> ?y } }"
+    assert _answers(q, two) == [("a", "1"), ("b", "3"), ("c", None)]
+    # a pattern after OPTIONAL is joined after it: an unbound ?y takes what the pattern gives
+    assert _answers(q, "SELECT ?x ?y WHERE { ?x <t> <T> . OPTIONAL { ?x <p> ?y } ?x <q> ?y }") == [("b", "3")]
+    assert _answers(q, "SELECT ?x WHERE { VALUES ?x { <a> <z> } ?x <t> <T> }") == [("a",)] and _answers(q, "SELECT ?x WHERE { VALUES ?x { <a> <z> } }") == [("a",), ("z",)]
+    assert _answers(q, "SELECT ?x ?n WHERE { ?x <t> <T> . ?y <n> ?n . ?x <q> ?y }") == [("b", "N3")]
+    assert _answers(q, 'SELECT ?x ?y WHERE { ?x <t> <T> . OPTIONAL { ?x <q> ?y . FILTER(STRSTARTS(STR(?x), "b")) } }') == [("a", None), ("b", "3"), ("c", None)]
+    assert _answers(q, "SELECT ?x ?n WHERE { { SELECT ?x (COUNT(?y) AS ?n) WHERE { ?x <t> <T> . OPTIONAL { ?x <q> ?y } } GROUP BY ?x } ?x <p> ?z }") == [("a", "1")]
+    with pytest.raises(ValueError, match="bound already"):
+        sparql.sparql(q, "SELECT ?x WHERE { ?x <t> <T> . BIND(<a> AS ?x) }")
+
+
+def test_graph_plans_are_their_sparql(spark):
+    q = views.quads(spark, SF).cache()
+    classes = sparql.sparql(q, "SELECT ?class (COUNT(?s) AS ?count) WHERE { ?s a ?class } GROUP BY ?class ORDER BY DESC(?count)").collect()
+    assert sorted(map(tuple, classes)) == sorted(map(tuple, graph_queries.class_distribution(q).collect()))
+    volume = sparql.sparql(q, "SELECT ?graph (COUNT(*) AS ?n) WHERE { GRAPH ?graph { ?a ?b ?c } } GROUP BY ?graph").collect()
+    assert sorted(map(tuple, volume)) == sorted(map(tuple, graph_queries.triple_volume(q).collect()))
+    assert graph_queries.sample_claims(q, 10).count() == 10
+    q.unpersist()
+
+
 def test_publish_gate(spark, tmp_path):
     lines = rdf.nt_lines(views.quads(spark, SF))
     shut = f"{views.BASE}/graph/src1"
