@@ -24,6 +24,30 @@ class Enricher:
     compute: Callable[[list[str]], list[str]]
     config: str = "{}"
     batch: int = 64
+    workers: int | None = None
+    requires: tuple[str, ...] = ()
+    available: Callable[[], bool] | None = None
+    graph: str | None = None  # the graph it writes; None: each source's own
+
+
+def ordered(enrichers: list[Enricher]) -> list[Enricher]:
+    """Enrichers after those they require, else in the order given; a missing or circular requirement is an error."""
+    done, left = [], list(enrichers)
+    while left:
+        ready = next((e for e in left if set(e.requires) <= {d.name for d in done}), None)
+        if ready is None:
+            raise ValueError(f"requirements can't be met: {[(e.name, e.requires) for e in left]}")
+        done.append(ready)
+        left.remove(ready)
+    return done
+
+
+def is_available(e: Enricher) -> bool:
+    """One probe of the backend; whatever it raises means no."""
+    try:
+        return e.available is None or bool(e.available())
+    except Exception:
+        return False
 
 
 def subjects(items: DataFrame, e: Enricher) -> DataFrame:
@@ -45,7 +69,10 @@ def plan(subject: DataFrame, results: DataFrame, e: Enricher, now: Column, **fla
 
 
 def run(planned: DataFrame, e: Enricher, now: Column) -> DataFrame:
-    """Results of the pending subjects; a failed batch is retryable for all its subjects."""
+    """Results of the pending subjects; a failed batch is retryable for all its subjects.
+
+    At most ``e.workers`` batches run at a time.
+    """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -60,7 +87,8 @@ def run(planned: DataFrame, e: Enricher, now: Column) -> DataFrame:
                     payloads, status = [None] * len(part), "retryable_failure"
                 yield pd.DataFrame({"subject_key": part["subject_key"], "input_hash": part["input_hash"], "status": status, "payload": payloads})
 
-    done = planned.filter("work = 'pending'").select("subject_key", "input", "input_hash").mapInPandas(work, "subject_key string, input_hash string, status string, payload string")
+    pending = planned.filter("work = 'pending'").select("subject_key", "input", "input_hash")
+    done = (pending.repartition(e.workers, "subject_key") if e.workers else pending).mapInPandas(work, "subject_key string, input_hash string, status string, payload string")
     retry = F.when(F.col("status") == "retryable_failure", now + F.expr("interval 1 hour"))
     return done.select(F.lit(e.name).alias("enricher"), "subject_key", F.lit(e.version).alias("enricher_version"), "input_hash", F.sha2(F.lit(e.config), 256).alias("config_hash"), "status", retry.alias("retry_at"), "payload", now.alias("updated_at"))
 
@@ -97,3 +125,38 @@ def entity_properties(mentions: DataFrame, facts: DataFrame, wanted: list[str])
 def summary(planned: DataFrame) -> DataFrame:
     """(work, n): additive counters of a stage."""
     return planned.groupBy("work").agg(F.count("*").alias("n"))
+
+
+MENTION = "array<struct<uri:string,surface_form:string,source:string,properties:map<string,array<string>>>>"
+
+
+def replace_mentions(held: Column, source: str, new: Column) -> Column:
+    """Mentions after one linker's result is applied: those of other sources stay, its own are replaced."""
+    none = F.array().cast(MENTION)
+    return F.concat(F.filter(F.coalesce(held, none), lambda m: m["source"] != source), F.coalesce(new, none))
+
+
+def merge_properties(held: Column, new: Column) -> Column:
+    """Two maps of property to values as one, each value once, held ones first."""
+    none = F.create_map().cast("map<string,array<string>>")
+    both = F.map_zip_with(F.coalesce(held, none), F.coalesce(new, none), lambda _, a, b: F.array_union(F.coalesce(a, F.array().cast("array<string>")), F.coalesce(b, F.array().cast("array<string>"))))
+    return both
+
+
+def fetch_properties(uris: DataFrame, get: Callable[[list[str]], list[tuple[str, str, str, str]]], batch: int = 50, retries: int = 2) -> DataFrame:
+    """Facts (entity, property, value, kind) of the distinct ``uris`` (uri), by ``get`` on batches of at most ``batch``; a batch that keeps failing gives none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for lo in range(0, len(frame), batch):
+                rows: list = []
+                for attempt in range(retries + 1):
+                    try:
+                        rows = list(get(frame["uri"].iloc[lo : lo + batch].tolist()))
+                        break
+                    except Exception:
+                        if attempt == retries:
+                            rows = []
+                yield pd.DataFrame(rows, columns=["entity", "property", "value", "kind"], dtype=object)
+
+    return uris.select("uri").filter("uri is not null").distinct().mapInPandas(run, "entity string, property string, value string, kind string")

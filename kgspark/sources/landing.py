@@ -6,13 +6,14 @@ import gzip
 import hashlib
 import io
 import json
-import os
 import re
 import time
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+from .storage import files
+
 MAX_DOWNLOAD, MAX_EXPANDED = 512 << 20, 256 << 20
 
 
@@ -89,64 +90,67 @@ def expand(data: bytes, member: str | None = None, limit: int = MAX_EXPANDED) ->
 
 
 class Landing:
-    """A folder of snapshots by (source, configuration); writes are atomic and verified by digest."""
+    """A folder of snapshots by (source, configuration); writes are atomic and verified by digest.
+
+    ``root`` is a local folder, or one of any file system that Spark writes to (then with a session).
+    """
 
-    def __init__(self, root: str, ttl_s: float = 24 * 3600, clock: Callable[[], float] = time.time):
-        self.root, self.ttl, self.clock = Path(root), ttl_s, clock
+    def __init__(self, root: str, ttl_s: float = 24 * 3600, clock: Callable[[], float] = time.time, spark=None):
+        self.root, self.ttl, self.clock, self.files = str(root).rstrip("/"), ttl_s, clock, files(spark, str(root))
 
-    def place(self, source: str, config: dict) -> Path:
+    def place(self, source: str, config: dict) -> str:
         key = hashlib.sha256(json.dumps(config, sort_keys=True, default=str).encode()).hexdigest()[:32]
-        return self.root / f"source={source}" / key
+        return f"{self.root}/source={source}/{key}"
 
-    def put(self, source: str, config: dict, data: bytes) -> Path:
-        at = self.place(source, config)
-        at.mkdir(parents=True, exist_ok=True)
-        scratch = at / f".tmp-{os.getpid()}"
-        scratch.write_bytes(data)
-        os.replace(scratch, at / "snapshot")
-        meta = {"sha256": hashlib.sha256(data).hexdigest(), "bytes": len(data), "at": self.clock()}
-        (at / ".meta.tmp").write_text(json.dumps(meta))
-        os.replace(at / ".meta.tmp", at / "_META")
-        return at / "snapshot"
-
-    def get(self, source: str, config: dict, *, ignore_ttl: bool = False) -> Path | None:
+    def put(self, source: str, config: dict, data: bytes) -> Path | str:
+        """Data are named by their digest and the entry is replaced last, so a reader of the old entry keeps its data until the next ``clear``."""
+        at, digest = self.place(source, config), hashlib.sha256(data).hexdigest()
+        self.files.write(f"{at}/snapshot-{digest[:16]}", data)
+        self.files.write(f"{at}/_META", json.dumps({"sha256": digest, "bytes": len(data), "at": self.clock()}))
+        return self._path(at, digest)
+
+    def _path(self, at: str, digest: str) -> Path | str:
+        name = f"{at}/snapshot-{digest[:16]}"
+        return name if "://" in name else Path(name)
+
+    def get(self, source: str, config: dict, *, ignore_ttl: bool = False) -> Path | str | None:
         at = self.place(source, config)
-        if not (at / "_META").exists():
+        if not self.files.exists(f"{at}/_META"):
             return None
-        meta = json.loads((at / "_META").read_text())
-        if not ignore_ttl and self.clock() - meta["at"] > self.ttl:
+        meta = json.loads(self.files.read(f"{at}/_META"))
+        path = self._path(at, meta["sha256"])
+        if not ignore_ttl and self.clock() - meta["at"] > self.ttl or not self.files.exists(str(path)):
             return None
-        whole = hashlib.sha256((at / "snapshot").read_bytes()).hexdigest() == meta["sha256"]
-        return at / "snapshot" if whole else None
+        return path if self.files.sha256(str(path)) == meta["sha256"] else None
 
-    def fetch(self, source: str, kind: str, config: dict, *, skip_download: bool = False, member: str | None = None, **more) -> Path:
+    def fetch(self, source: str, kind: str, config: dict, *, skip_download: bool = False, member: str | None = None, **more) -> Path | str:
         """A fresh stored snapshot, else a new one; without downloads a stored one of any age, or an error."""
         found = self.get(source, config, ignore_ttl=skip_download)
         if found:
             return found
         if skip_download:
             raise SourceError(f"nothing stored for {source}")
-        return self.put(source, config, expand(PROVIDERS[kind](config, **more), member))
+        return self.put(source, config, expand(PROVIDERS[kind](config, **more), member or config.get("extract_file")))
+
+    def _metas(self) -> list[dict]:
+        return [json.loads(self.files.read(f"{self.root}/{s}/{k}/_META")) for s in self.files.names(self.root) if s.startswith("source=") for k in self.files.names(f"{self.root}/{s}") if self.files.exists(f"{self.root}/{s}/{k}/_META")]
 
     def stats(self) -> dict[str, int]:
-        metas = [json.loads(p.read_text()) for p in self.root.glob("source=*/*/_META")]
+        metas = self._metas()
         return {"entries": len(metas), "bytes": sum(m["bytes"] for m in metas), "expired": sum(self.clock() - m["at"] > self.ttl for m in metas)}
 
     def clear(self, source: str) -> int:
-        import shutil
-
-        found = list((self.root / f"source={source}").glob("*"))
-        for p in found:
-            shutil.rmtree(p)
+        found = self.files.names(f"{self.root}/source={source}")
+        for name in found:
+            self.files.delete(f"{self.root}/source={source}/{name}")
         return len(found)
 
 
-def keep_newest(root: str, keep: int) -> list[str]:
+def keep_newest(root: str, keep: int, spark=None) -> list[str]:
     """Remove all but the newest ``keep`` snapshot folders by name; folders with scratch or lock files stay."""
-    import shutil
-
-    folders = sorted((p for p in Path(root).iterdir() if p.is_dir()), reverse=True)
-    gone = [p for p in folders[keep:] if not any(x.suffix in (".tmp", ".lock") for x in p.rglob("*"))]
-    for p in gone:
-        shutil.rmtree(p)
-    return [p.name for p in gone]
+    disk = files(spark, str(root))
+    folders = sorted((n for n in disk.names(str(root)) if disk.is_folder(f"{root}/{n}")), reverse=True)
+    gone = [n for n in folders[keep:] if not any(x.endswith((".tmp", ".lock")) for x in disk.tree(f"{root}/{n}"))]
+    for n in gone:
+        disk.delete(f"{root}/{n}")
+    return gone

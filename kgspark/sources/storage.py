@@ -47,6 +47,9 @@ class LocalFiles:
             return False
         return True
 
+    def is_folder(self, path: str) -> bool:
+        return Path(path).is_dir()
+
     def names(self, path: str) -> list[str]:
         return sorted(p.name for p in Path(path).iterdir()) if Path(path).is_dir() else []
 
@@ -113,6 +116,10 @@ class SharedFiles:
             raise
         return True
 
+    def is_folder(self, path: str) -> bool:
+        fs, p = self._at(path)
+        return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
     def names(self, path: str) -> list[str]:
         fs, p = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
