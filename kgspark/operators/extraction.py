@@ -64,11 +64,11 @@ EXTRACTIONS = """document_key string, requested_url string, final_url string, ca
 status string, retry_at timestamp, category string, http_status int, error_type string, error_message string, requested boolean, updated_at timestamp"""
 
 
-def stored(results: DataFrame, version: str, config_hash: str, now: Column) -> DataFrame:
+def stored(results: DataFrame, version: str, config_hash: str, now: Column, delays: dict[str, float] | None = None) -> DataFrame:
     """Rows to be stored of ``fetch`` results: successes with the fingerprint of their text, failures classified."""
     good = F.col("error_type").isNull() & F.col("content").isNotNull()
     kind = F.when(F.col("error_type") == "host_cooldown", "http_error").otherwise(F.coalesce("error_type", F.lit("extraction_failed")))
-    x = results.withColumn("failure", classify_failure(kind, F.col("http_status"), F.col("retry_at"), now)).withColumn("plain", identity_text(F.when(good, F.col("content"))))
+    x = results.withColumn("failure", classify_failure(kind, F.col("http_status"), F.col("retry_at"), now, delays)).withColumn("plain", identity_text(F.when(good, F.col("content"))))
     some = F.coalesce("plain", F.lit("")) != ""
     return x.select(
         "document_key", F.col("url").alias("requested_url"), "final_url", "canonical_url", F.when(good, F.col("content")).alias("content"), F.when(some, F.sha2("plain", 256)).alias("text_hash"),

@@ -51,8 +51,8 @@ def classify_work(current: Column, status: Column, retry_at: Column, now: Column
 RETRY_HOURS = {"transient": 1, "access_blocked": 30 * 24, "dns": 7 * 24, "unextractable_content": 30 * 24}
 
 
-def classify_failure(error_type: Column, http_status: Column, server_retry: Column, now: Column) -> Column:
-    """struct(status, category, retry_at) of a failed fetch."""
+def classify_failure(error_type: Column, http_status: Column, server_retry: Column, now: Column, delays: dict[str, float] | None = None) -> Column:
+    """struct(status, category, retry_at) of a failed fetch; ``delays`` are hours by category that differ from RETRY_HOURS."""
     permanent_kind = error_type.isin("invalid_input", "invalid_url", "response_too_large", "unsupported_content")
     http = error_type == "http_error"
     gone = http & http_status.between(400, 499) & ~http_status.isin(401, 403, 408, 425, 429)
@@ -65,8 +65,8 @@ def classify_failure(error_type: Column, http_status: Column, server_retry: Colu
         .when(error_type == "extraction_failed", "unextractable_content")
         .otherwise("transient")
     )
-    hours = F.create_map(*[F.lit(x) for kv in RETRY_HOURS.items() for x in kv])[category]
+    seconds = F.create_map(*[F.lit(x) for k, v in (RETRY_HOURS | (delays or {})).items() for x in (k, float(v) * 3600)])[category]
     own = F.when(http & http_status.isin(401, 403), F.lit(None).cast("timestamp")).otherwise(server_retry)
-    again = F.when(category != "permanent", F.coalesce(own, now + F.make_dt_interval(F.lit(0), hours)))
+    again = F.when(category != "permanent", F.coalesce(own, now + F.make_dt_interval(secs=seconds)))
     status = F.when(category == "permanent", "permanent_failure").otherwise("retryable_failure")
     return F.struct(status.alias("status"), category.alias("category"), again.alias("retry_at"))

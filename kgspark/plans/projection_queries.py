@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import enrichment, identity, projection, relational
+from ..operators import enrichment, identity, projection, rdf, relational
 from ..sources import catalog, formats
 from . import graph_queries as G
 from . import views as V
@@ -330,3 +332,62 @@ def _broken(spark, sf_dir):
     even, odd = r.filter("doc_id % 2 = 0").withColumn("claim_review_id", F.lit(None).cast("string")), r.filter("doc_id % 2 = 1")
     documents = even.select("document_id").distinct().withColumn("organization_uri", F.lit("org/en"))
     return identity.broken_references(even.unionByName(odd), documents, r.select("claim_review_id").limit(0))
+
+
+# --- serialisation, publication and service ------------------------------------------------------------------------------------
+_on(V.quads, "nq_lines", rdf.nq_lines, _Q + """SELECT graph, '<' || s || '> <' || p || '> ' || CASE WHEN o_kind = 'iri' THEN '<' || o || '>' ELSE '"' || replace(replace(o, '\\', '\\\\'), '"', '\\"') || '"' || CASE WHEN o_datatype <> '' THEN '^^<' || o_datatype || '>' ELSE '' END END || ' <' || graph || '> .' AS line FROM quads""")
+
+
+@_add("snapshot_activate", _Q + "SELECT graph, s, p, o, o_kind, o_datatype FROM quads WHERE graph NOT LIKE '%1' OR p LIKE '%inLanguage'")
+def _served(spark, sf_dir):
+    """Two snapshots; the second lacks graphs that are incomplete, so it carries what the first had of them, and is served."""
+    from ..sources.storage import checkpoint_root
+    from . import control
+
+    root, q = f"{checkpoint_root(spark)}/served-{uuid.uuid4().hex}", V.quads(spark, sf_dir)
+    graphs = [r[0] for r in q.select("graph").distinct().collect()]
+    shut = [g for g in graphs if g.endswith("1")]
+    rdf.publish(rdf.nt_lines(q.filter(F.col("p").endswith("inLanguage"))), f"{root}/a").count()
+    rdf.publish(rdf.nt_lines(q), f"{root}/b", shut, f"{root}/a").count()
+    control.activate(spark, root, f"{root}/a", graphs[:0])
+    control.activate(spark, root, f"{root}/b", [g for g in graphs if g not in shut])
+    return control.served(spark, root)
+
+
+@_add("quads_entities", """WITH e AS (SELECT 'claim/' || doc_id AS s, 'https://e.org/' || (doc_id % 7) AS o FROM documents), m AS (SELECT DISTINCT o FROM e WHERE o <> 'https://e.org/3')
+SELECT 'https://kg.example.org/' || s AS s, 'http://schema.org/mentions' AS p, o, 'iri' AS o_kind FROM e UNION ALL SELECT o, 'https://p.org/label', 'Label ' || o, 'literal' FROM m UNION ALL SELECT o, 'https://p.org/same', o || '/x', 'iri' FROM m""")
+def _entities(spark, sf_dir):
+    mentions = _docs(spark, sf_dir).select(F.concat(F.lit("claim/"), "doc_id").alias("subject"), F.concat(F.lit("https://e.org/"), F.col("doc_id") % 7).alias("uri"))
+    table = {f"https://e.org/{k}": k for k in range(20) if k != 3}
+    facts = enrichment.fetch_properties(mentions, lambda uris: [row for u in uris if u in table for row in ((u, "https://p.org/label", f"Label {u}", "literal"), (u, "https://p.org/label", f"Label {u}", "literal"), (u, "https://p.org/same", f"{u}/x", "uri"), (u, "https://p.org/same", "_:b", "bnode"), (u, "https://p.org/other", "z", "literal"))], batch=3)
+    properties = enrichment.entity_properties(mentions, facts, ["https://p.org/label", "https://p.org/same"])
+    return rdf.mention_quads(mentions, properties).select("s", "p", "o", "o_kind")
+
+
+@_add("entity_merge", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'u:new,w:' || doc_id ELSE 'u:old,w:' || doc_id END AS uris, 'p=1|2,q=' || (doc_id % 3) AS properties FROM documents")
+def _merge(spark, sf_dir):
+    """A linker's mentions replaced where it ran again, and two maps of properties as one."""
+    d = _docs(spark, sf_dir)
+    m = lambda uri, source: F.struct(uri.alias("uri"), F.lit("x").alias("surface_form"), F.lit(source).alias("source"), F.create_map().cast("map<string,array<string>>").alias("properties"))
+    held = F.array(m(F.lit("u:old"), "a"), m(F.concat(F.lit("w:"), "doc_id"), "b"))
+    again = enrichment.replace_mentions(held, "a", F.array(m(F.lit("u:new"), "a")))
+    merged = enrichment.merge_properties(F.create_map(F.lit("p"), F.array(F.lit("1"))), F.create_map(F.lit("q"), F.array((F.col("doc_id") % 3).cast("string")), F.lit("p"), F.array(F.lit("2"), F.lit("1"))))
+    shown = lambda c: F.array_join(F.array_sort(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], "|")))), ",")
+    return d.select("doc_id", F.when(F.col("doc_id") % 2 == 0, again).otherwise(held).alias("m"), merged.alias("p")).select("doc_id", F.array_join(F.array_sort(F.transform("m", lambda x: x["uri"])), ",").alias("uris"), shown(F.col("p")).alias("properties"))
+
+
+@_add("extract_store", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'success' WHEN 1 THEN 'permanent_failure' ELSE 'retryable_failure' END AS status, CASE page_id % 4 WHEN 1 THEN 'permanent' WHEN 2 THEN 'transient' WHEN 3 THEN 'access_blocked' END AS category, CASE WHEN page_id % 4 = 0 THEN 3 END AS words, CASE page_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 1 END AS attempts FROM pages")
+def _store(spark, sf_dir):
+    """Outcomes of fetching every page, with one more try where it may help, as they are stored."""
+    from ..operators import extraction
+
+    pages = V.table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("document_key"), F.concat(F.lit("https://h"), F.col("page_id") % 20, F.lit(".org/"), "page_id").alias("url"))
+
+    def get(url: str) -> dict:
+        k = int(url.rsplit("/", 1)[1])
+        return [{"content": f"Page number {k}", "http_status": 200}, {"error_type": "http_error", "http_status": 404}, {"error_type": "timeout"}, {"error_type": "access_challenge"}][k % 4]
+
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    done = extraction.fetch(pages, get, workers=4, retries=1, sleep=lambda s: None)
+    rows = extraction.stored(done, "1", "c", now).join(done.select("document_key", "attempts"), "document_key")
+    return rows.select(F.col("document_key").cast("long").alias("page_id"), "status", "category", "words", "attempts")

@@ -188,17 +188,17 @@ _TYPE = f"p = '{V.RDF_TYPE}'"
 _ONE = "(SELECT DISTINCT s, p, o, o_kind, o_datatype FROM quads)"
 _on(V.quads, "quads_distinct", lambda q: q, _Q + "SELECT * FROM quads")
 _on(V.quads, "nt_lines", rdf.nt_lines, _Q + """SELECT graph, '<' || s || '> <' || p || '> ' || CASE WHEN o_kind = 'iri' THEN '<' || o || '>' ELSE '"' || replace(replace(o, '\\', '\\\\'), '"', '\\"') || '"' || CASE WHEN o_datatype <> '' THEN '^^<' || o_datatype || '>' ELSE '' END END || ' .' AS line FROM quads""")
-_on(V.quads, "kg_core_counts", G.core_counts, _Q + f"SELECT count(DISTINCT s) FILTER (WHERE o = '{V.SCHEMA}ClaimReview') AS total_reviews, count(DISTINCT s) FILTER (WHERE o = '{V.SCHEMA}Claim') AS total_claims, count(DISTINCT s) FILTER (WHERE o = '{V.SCHEMA}Rating') AS total_ratings FROM quads WHERE {_TYPE}")
-_on(V.quads, "kg_class_distribution", G.class_distribution, _Q + f"SELECT o AS class, count(*) AS count FROM {_ONE} WHERE {_TYPE} GROUP BY 1 ORDER BY count DESC, class LIMIT 50")
-_on(V.quads, "kg_triple_volume", G.triple_volume, _Q + "SELECT graph, count(*) AS triple_count FROM quads GROUP BY 1 ORDER BY triple_count DESC, graph LIMIT 25")
-_on(V.quads, "kg_entity_types", G.entity_mentions, _Q + f"SELECT m.o AS entity, count(*) AS count FROM (SELECT DISTINCT s, o FROM quads WHERE {_TYPE} AND o IN ('{V.SCHEMA}Claim', '{V.SCHEMA}ClaimReview')) t JOIN quads m ON m.s = t.s WHERE m.graph = '{V.ENTITY_GRAPH}' AND m.p = '{V.SCHEMA}mentions' GROUP BY 1 ORDER BY count DESC, entity LIMIT 25")
+_on(V.stored_quads, "kg_core_counts", G.core_counts, _Q + f"SELECT count(DISTINCT s) FILTER (WHERE o = '{V.SCHEMA}ClaimReview') AS total_reviews, count(DISTINCT s) FILTER (WHERE o = '{V.SCHEMA}Claim') AS total_claims, count(DISTINCT s) FILTER (WHERE o = '{V.SCHEMA}Rating') AS total_ratings FROM quads WHERE {_TYPE}")
+_on(V.stored_quads, "kg_class_distribution", G.class_distribution, _Q + f"SELECT o AS class, count(*) AS count FROM {_ONE} WHERE {_TYPE} GROUP BY 1 ORDER BY count DESC, class LIMIT 50")
+_on(V.stored_quads, "kg_triple_volume", G.triple_volume, _Q + "SELECT graph, count(*) AS triple_count FROM quads GROUP BY 1 ORDER BY triple_count DESC, graph LIMIT 25")
+_on(V.stored_quads, "kg_entity_types", G.entity_mentions, _Q + f"SELECT m.o AS entity, count(*) AS count FROM (SELECT DISTINCT s, o FROM quads WHERE {_TYPE} AND o IN ('{V.SCHEMA}Claim', '{V.SCHEMA}ClaimReview')) t JOIN quads m ON m.s = t.s WHERE m.graph = '{V.ENTITY_GRAPH}' AND m.p = '{V.SCHEMA}mentions' GROUP BY 1 ORDER BY count DESC, entity LIMIT 25")
 _COVER = {"emotion": "hasEmotion", "sentiment": "hasSentiment", "political_leaning": "hasPoliticalLeaning", "conspiracy": "Conspiracy", "tropes": "hasTrope", "persuasion_techniques": "hasPersuasionTechnique", "climate": "isClimateRelated"}
-_on(V.quads, "kg_enrichment_coverage", G.enrichment_coverage, _Q + f"SELECT count(DISTINCT s) AS total_claims, " + ", ".join(f"count(DISTINCT s) FILTER (WHERE p LIKE '%{v}') AS with_{k}" for k, v in _COVER.items()) + f" FROM quads WHERE s IN (SELECT s FROM quads WHERE {_TYPE} AND o = '{V.SCHEMA}Claim')")
-_on(V.quads, "kg_claim_factors", G.claim_factors, _Q + f"SELECT category, value, count(DISTINCT s) AS count FROM (SELECT s, CASE p " + " ".join(f"WHEN '{p}' THEN '{c}'" for c, p, _, _ in V.FACTORS) + f" WHEN '{V.CLIMATE}' THEN 'climate_related' END AS category, CASE WHEN p = '{V.CLIMATE}' THEN o ELSE regexp_extract(o, '/([^/]*)$', 1) END AS value FROM quads) WHERE category IS NOT NULL GROUP BY 1, 2")
-_on(V.quads, "kg_totals", G.totals, _Q + "SELECT count(*) AS triples, count(DISTINCT graph) AS graphs FROM quads")
-_on(V.quads, "kg_graph_stats", G.graph_stats, _Q + "SELECT graph, count(*) AS n FROM quads GROUP BY 1")
-_on(V.quads, "kg_graph_stats_typed", G.graph_stats_typed, _Q + f"SELECT graph, count(*) AS n FROM quads WHERE {_TYPE} GROUP BY 1")
-_on(V.quads, "kg_sample_claims", G.sample_claims, _Q + f"SELECT r.s AS review, t.o AS text, v.o AS value FROM {_ONE} r JOIN {_ONE} i ON i.s = r.s AND i.p = '{V.SCHEMA}itemReviewed' JOIN {_ONE} x ON x.s = r.s AND x.p = '{V.SCHEMA}reviewRating' JOIN {_ONE} t ON t.s = i.o AND t.p = '{V.SCHEMA}text' JOIN {_ONE} v ON v.s = x.o AND v.p = '{V.SCHEMA}ratingValue' WHERE r.{_TYPE} AND r.o = '{V.SCHEMA}ClaimReview'")
+_on(V.stored_quads, "kg_enrichment_coverage", G.enrichment_coverage, _Q + f"SELECT count(DISTINCT s) AS total_claims, " + ", ".join(f"count(DISTINCT s) FILTER (WHERE p LIKE '%{v}') AS with_{k}" for k, v in _COVER.items()) + f" FROM quads WHERE s IN (SELECT s FROM quads WHERE {_TYPE} AND o = '{V.SCHEMA}Claim')")
+_on(V.stored_quads, "kg_claim_factors", G.claim_factors, _Q + f"SELECT category, value, count(DISTINCT s) AS count FROM (SELECT s, CASE p " + " ".join(f"WHEN '{p}' THEN '{c}'" for c, p, _, _ in V.FACTORS) + f" WHEN '{V.CLIMATE}' THEN 'climate_related' END AS category, CASE WHEN p = '{V.CLIMATE}' THEN o ELSE regexp_extract(o, '/([^/]*)$', 1) END AS value FROM quads) WHERE category IS NOT NULL GROUP BY 1, 2")
+_on(V.stored_quads, "kg_totals", G.totals, _Q + "SELECT count(*) AS triples, count(DISTINCT graph) AS graphs FROM quads")
+_on(V.stored_quads, "kg_graph_stats", G.graph_stats, _Q + "SELECT graph, count(*) AS n FROM quads GROUP BY 1")
+_on(V.stored_quads, "kg_graph_stats_typed", G.graph_stats_typed, _Q + f"SELECT graph, count(*) AS n FROM quads WHERE {_TYPE} GROUP BY 1")
+_on(V.stored_quads, "kg_sample_claims", G.sample_claims, _Q + f"SELECT r.s AS review, t.o AS text, v.o AS value FROM {_ONE} r JOIN {_ONE} i ON i.s = r.s AND i.p = '{V.SCHEMA}itemReviewed' JOIN {_ONE} x ON x.s = r.s AND x.p = '{V.SCHEMA}reviewRating' JOIN {_ONE} t ON t.s = i.o AND t.p = '{V.SCHEMA}text' JOIN {_ONE} v ON v.s = x.o AND v.p = '{V.SCHEMA}ratingValue' WHERE r.{_TYPE} AND r.o = '{V.SCHEMA}ClaimReview'")
 
 from . import domain_queries  # noqa: E402, F401  it adds its queries to the two tables above
 from . import projection_queries  # noqa: E402, F401

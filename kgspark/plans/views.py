@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,6 +106,22 @@ def quads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observation_quads(observations(spark, sf_dir).filter("problem is null"))
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quads written once a session in the shared folder, ranged by predicate, so that filters on it reach the scan."""
+    from ..sources.storage import checkpoint_root, files
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    root = checkpoint_root(spark)
+    if key not in _STORED or not files(spark, root if "://" in root else "").exists(f"{_STORED[key]}/_SUCCESS"):
+        path = f"{root}/quads-{uuid.uuid4().hex}"
+        quads(spark, sf_dir).sortWithinPartitions("p", "o").write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def _iri(expr: str) -> str:
     return f"'{BASE}/' || {expr}"
 
