@@ -242,3 +242,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
         kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates(key))
     discard(*copies, rows)
     return kept.select(*plain.columns).toDF(*names)
+
+
+def oracle_sql(percent: int = 75) -> str:
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: w[i:i+4])) AS shingle FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS same FROM g x JOIN g y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * same >= {percent} * (x.n + y.n - same)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a, min(b) AS least FROM r GROUP BY 1)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(m.least, w.doc_id)) AS component_id, w.doc_id <= coalesce(m.least, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN m ON m.a = w.doc_id"""

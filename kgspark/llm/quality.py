@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS, TRUSTED, THRESHOLD, UNIT = 10_000, 20_000, -0.1, 1_000_000
+BUCKETS, TRUSTED, THRESHOLD, UNIT = 65_536, 20_000, -0.15, 1_000_000
 WORD, BLANKS, SYMBOLS = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+", "#*$%&|<>"
 
 

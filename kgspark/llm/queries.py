@@ -98,9 +98,10 @@ QUERIES = {
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    from . import knn_join, line_dedup, url_filter
+    from . import knn_join, line_dedup, near_dup, url_filter
 
     return {
+        "op2_near_duplicates": near_dup.oracle_sql(),
         "op4_line_dedup": line_dedup.oracle_sql(),
         "op8_url_filters": url_filter.oracle_sql(URL_RULES),
         "op9_exact_top_k": knn_join.oracle_sql(),
