@@ -29,12 +29,12 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
-def _features(words: str, buckets: int) -> Column:
-    """Buckets of all words and all neighbouring pairs of a column of lower-cased words."""
-    w = F.col(words)
-    one = F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int"))
-    two = F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.pmod(F.xxhash64(F.get(w, i - 1), F.get(w, i)), F.lit(buckets)).cast("int"))
-    return F.when(F.size(w) > 1, F.concat(one, two)).otherwise(one)
+def _features(hashes: str, buckets: int) -> Column:
+    """Buckets of all words and all neighbouring pairs, from a column of the lower-cased words' hashes."""
+    h = F.col(hashes)
+    one = F.transform(h, lambda x: F.pmod(x, F.lit(buckets)).cast("int"))
+    two = F.transform(h, lambda x, i: F.pmod(F.xxhash64(F.get(h, i - 1), x), F.lit(buckets)).cast("int"))
+    return F.when(F.size(h) > 1, F.concat(one, F.slice(two, F.lit(2), F.size(h) - 1))).otherwise(one)
 
 
 def fit_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, max_trusted: int = TRUSTED) -> list[int]:
@@ -45,8 +45,9 @@ def fit_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, max
     """
     ids = trusted.select(F.col("doc_id").cast("long").alias("t_id")).filter("t_id is not null").distinct()
     ids = F.broadcast(ids.orderBy(F.xxhash64("t_id"), "t_id").limit(max_trusted))
-    words = docs.select(F.col("doc_id").alias("d_id"), _words(F.lower("text")).alias("words")).join(ids, F.col("d_id") == F.col("t_id"), "left")
-    each = words.select(F.col("t_id").isNotNull().alias("good"), F.explode(_features("words", buckets)).alias("bucket"))
+    hashes = F.transform(_words(F.lower("text")), lambda x: F.xxhash64(x))
+    words = docs.select(F.col("doc_id").alias("d_id"), hashes.alias("hashes")).join(ids, F.col("d_id") == F.col("t_id"), "left")
+    each = words.select(F.col("t_id").isNotNull().alias("good"), F.explode(_features("hashes", buckets)).alias("bucket"))
     counts = each.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("good").alias("good")).collect()
     raw, good = [0] * buckets, [0] * buckets
     for r in counts:
@@ -71,13 +72,14 @@ def quality_columns(docs: DataFrame, weights: list[int], threshold: float = THRE
         lines.alias("lines"),
         _words(F.col("text")).alias("words"),
     )
-    w = F.col("words")
-    windows = F.transform(F.sequence(F.lit(0), F.size(w) - 5), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(5))))
+    x = x.select("row", "doc_id", "word_chars", "n_symbols", "lines", "words", F.transform("words", lambda x: F.xxhash64(x)).alias("own"))
+    w = F.col("own")
+    windows = F.transform(F.slice(w, F.lit(5), F.greatest(F.size(w) - 4, F.lit(0))), lambda x, i: F.xxhash64(*(F.get(w, i + k) for k in range(4)), x))
     x = x.select(
         "row", "doc_id", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("words").cast("long").alias("n_words"),
-        F.transform("words", F.lower).alias("lower"),
+        F.transform("words", lambda x: F.xxhash64(F.lower(x))).alias("lower"),
         F.when(F.size("words") >= 5, windows).otherwise(F.array().cast("array<bigint>")).alias("windows"),
     )
     # equal windows stand side by side once sorted; texts without any skip the sort

@@ -241,7 +241,7 @@ def test_op10_scores_are_the_ratio(spark, docs):
     bucket = {}
     every = sorted({x for r in rows for w in [WORDS.findall(r.text.lower())] for x in [(a,) for a in w] + list(zip(w, w[1:]))})
     table = spark.createDataFrame([(x[0], x[1] if len(x) > 1 else None) for x in every], "a string, b string")
-    for r in table.select("a", "b", F.when(F.col("b").isNull(), F.pmod(F.xxhash64("a"), F.lit(500))).otherwise(F.pmod(F.xxhash64("a", "b"), F.lit(500))).alias("k")).collect():
+    for r in table.select("a", "b", F.when(F.col("b").isNull(), F.pmod(F.xxhash64("a"), F.lit(500))).otherwise(F.pmod(F.xxhash64(F.xxhash64("a"), F.xxhash64("b")), F.lit(500))).alias("k")).collect():
         bucket[(r.a,) if r.b is None else (r.a, r.b)] = r.k
     feats = {r.doc_id: [bucket[x] for w in [WORDS.findall(r.text.lower())] for x in [(a,) for a in w] + list(zip(w, w[1:]))] for r in rows}
     raw, fine = np.ones(500), np.ones(500)
