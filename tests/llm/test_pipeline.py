@@ -37,7 +37,7 @@ def test_stages_on_odd_and_empty_tables(spark, docs, odd_docs):
 
 
 def test_run(spark):
-    assert corpus_pipeline.run(spark, DATA).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert corpus_pipeline.run(spark, DATA).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "generations"]
     assert near_dup.BANDS * near_dup.ROWS == 160
 
 
