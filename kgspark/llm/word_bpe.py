@@ -12,12 +12,12 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 
 from .piece_bpe import KEEP, LONG_PART, older_half
 
-_ODD = re.compile("[\x1c-\x1f]")
 #: What a file must hold for its words to be separable (fixed values of that format).
 _NORMALIZERS = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None)]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -50,10 +50,35 @@ def _separable(spec: dict) -> bool:
     )
 
 
+def _odd(text: str) -> bool:
+    """Whether a text holds a separator that Python cuts at and the file doesn't."""
+    return "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+
+
+class _Known(dict):
+    """Ids of short words met before, at most ``limit`` of them; others are learnt when looked up."""
+
+    def __init__(self, learn: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self.learn, self.limit = learn, limit
+
+    def __missing__(self, word: str) -> bytes:
+        return self.keep(word, self.learn(word))
+
+    def keep(self, word: str, ids: bytes) -> bytes:
+        if len(word) <= LONG_PART:
+            if len(self) >= self.limit:
+                older = older_half(self)
+                self.clear()
+                self.update(older)
+            self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """ids of whole texts as little-endian uint32 bytes, as ``encode(text, add_special_tokens=False)`` gives them."""
 
-    def __init__(self, path: str, keep: int = KEEP):
+    def __init__(self, path: str, keep: int = 2 * KEEP):
         import json
 
         from tokenizers import Tokenizer
@@ -65,53 +90,35 @@ class WordEncoder:
         self.tokenizer.no_padding()
         # special tokens are found before anything else; those told apart by "<|" can't be in a plain word
         self.separable = _separable(spec) and all(x["content"].startswith("<|") and not x.get("lstrip") and not x.get("rstrip") for x in spec.get("added_tokens", []))
-        self.keep, self.known, self.parts = keep, {}, {}
+        self.known = _Known(self._learn, keep)
         self.bytes, self.model = _byte_level(), self.tokenizer.model
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
-        done = self.parts.get(part)
+        """The ids of one part in lower case; a part is a word of its own, so one cache serves both."""
+        done = self.known.get(part)
         if done is None:
-            done = array("I", [t.id for t in self.model.tokenize(part.translate(self.bytes))]).tobytes()
-            if len(part) <= LONG_PART:
-                self.parts[part] = done
+            signs = part if part.isascii() else part.translate(self.bytes)
+            done = self.known.keep(part, array("I", [t.id for t in self.model.tokenize(signs)]).tobytes())
         return done
 
     def _learn(self, word: str) -> bytes:
         """The ids of a word met for the first time."""
-        if len(self.parts) >= self.keep:
-            self.parts = older_half(self.parts)
+        if word.isascii() and word.isalpha():
+            return self._part(word.lower())
         if _PLAIN.fullmatch(word) and "<|" not in word:
             low = word.lower()
-            ids = self._part(low) if low.isalpha() else b"".join([self._part(p) for p in _PARTS.findall(low)])
-        else:
-            ids = self._library(word)
-        if len(word) <= LONG_PART:
-            if len(self.known) >= self.keep:
-                self.known = older_half(self.known)
-            self.known[word] = ids
-        return ids
+            return self._part(low) if low.isalpha() else b"".join([self._part(p) for p in _PARTS.findall(low)])
+        return self._library(word)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of many whole texts (null: none)."""
         if not self.separable:
             return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
-        out: list[bytes] = []
-        for t in texts:
-            if t and _ODD.search(t):
-                out.append(self._library(t))
-                continue
-            words = (t or "").split()
-            ids = list(map(self.known.get, words))
-            if None in ids:
-                for k, x in enumerate(ids):
-                    if x is None:
-                        x = self.known.get(words[k])
-                        ids[k] = self._learn(words[k]) if x is None else x
-            out.append(b"".join(ids))
-        return out
+        ids = self.known.__getitem__
+        return [b"" if not t else self._library(t) if _odd(t) else b"".join(map(ids, t.split())) for t in texts]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
