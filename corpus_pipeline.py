@@ -18,6 +18,8 @@ from kgspark.llm.common import cut
 MIN_LANGUAGE_SCORE = 0.25
 CAPACITY, END_ID = 2048, 0
 TOKENIZER = "word_bpe_49k.json"
+#: Words whose ids a Python worker keeps: fewer than in packing alone, as the executors' heaps have grown by the last stage.
+KEEP_WORDS = 100_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +51,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The documents' token pieces and their places in packed sequences."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), CAPACITY, END_ID)
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), CAPACITY, END_ID, keep=KEEP_WORDS)
 
 
 STAGES = [

@@ -3,11 +3,25 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def sole_cache(name: str, drop: Callable[[], None] = lambda: None) -> None:
+    """Called by a task before it fills the cache ``name``, which ``drop`` empties: the other operators' caches go.
+
+    Python workers outlive their stage, and what one operator keeps is of no use to the next.
+    """
+    for other in [n for n in _HELD if n != name]:
+        _HELD.pop(other)()
+    _HELD[name] = drop
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 

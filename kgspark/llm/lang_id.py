@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import positional
+from .common import positional, sole_cache
 
 PER_LANG, LANDMARKS_PER_LANG, LANDMARKS, RIDGE, BITS, ROWS, MAX_ROWS, SAMPLE_BYTES, CHUNK = 300, 64, 256, 1e-3, 7, 64, 20_000, 64 << 20, 1 << 20
 UNKNOWN = "und"
@@ -205,6 +205,7 @@ def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text",
     docs, place = positional(positional(docs).select(*[f"c{k}" for k in stay])), columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole_cache("languages")
         m, v = held.value
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import cut, discard, positional, small
+from .common import cut, discard, positional, small, sole_cache
 from .near_dup import text_classes
 
 MIN_SITES, MIN_CHARS, LG_K, MARGIN, MAX_BROADCAST, ROWS = 5, 20, 12, 0.2, 500_000, 500
@@ -132,6 +132,7 @@ def remove_lines(docs: DataFrame, lines: DataFrame, text: str = "text", *, min_c
     held = docs.sparkSession.sparkContext.broadcast(gone[:, np.lexsort(gone[::-1])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole_cache("lines")
         gone = held.value
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):

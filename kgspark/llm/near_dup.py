@@ -35,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, discard, positional, small
-from .sketch import band_keys, set_id, shingles, similar, sketch
+from .common import components, cut, discard, positional, small, sole_cache
+from .sketch import band_keys, forget, set_id, shingles, similar, sketch
 
 BANDS, ROWS, FLOOR, BLOCK, WIDE = 40, 4, 0.58, 400, 20_000
 
@@ -51,6 +51,7 @@ _BITS = np.uint64(0xFFFFFFFF)
 
 def _signatures(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole_cache("word hashes", forget)
         for batch in batches:
             texts = batch.column(3)
             for lo in range(0, batch.num_rows, 1000):
@@ -77,6 +78,7 @@ def _signatures(bands: int, rows: int):
 
 def _full_sets(t: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole_cache("word hashes", forget)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 items = [shingles(x) for x in batch.column(1).slice(lo, 500).to_pylist()]

@@ -26,16 +26,17 @@ from pyspark.sql import functions as F
 
 from .common import cut, discard
 from .gga import evolve
+from .piece_bpe import KEEP
 from .word_bpe import encoder
 
 CAPACITY, BLOCK, ISLANDS, EPOCHS, WELL_FILLED, ROWS = 2048, 4096, 3, 2, 0.97, 256
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", *, with_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32[, ids binary]) of every row's pieces, in order."""
+def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", *, with_ids: bool = False, keep: int = 2 * KEEP) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32[, ids binary]) of every row's pieces, in order; a Python worker keeps the ids of at most ``keep`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, keep)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
@@ -151,6 +152,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, *, block: int = BLOCK, isl
     return pieces.join(found, "row").drop("row")
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, **options) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, *, keep: int = 2 * KEEP, **options) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset, generations) of every piece of every row."""
-    return pack(token_pieces(docs, path, capacity, end_id), capacity, **options)
+    return pack(token_pieces(docs, path, capacity, end_id, keep=keep), capacity, **options)

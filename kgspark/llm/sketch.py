@@ -36,6 +36,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def forget() -> None:
+    """Empty the cache of word hashes."""
+    _WORD_CACHE.clear()
+
+
 def _word_hashes(words: list[str]) -> np.ndarray:
     cache = _WORD_CACHE
     if len(cache) > _WORD_CACHE_MAX:

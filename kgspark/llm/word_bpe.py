@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 import numpy as np
 
+from .common import sole_cache
 from .piece_bpe import KEEP, LONG_PART, older_half
 
 #: What a file must hold for its words to be separable (fixed values of that format).
@@ -121,11 +122,12 @@ class WordEncoder:
         return [b"" if not t else self._library(t) if _odd(t) else b"".join(map(ids, t.split())) for t in texts]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """The encoder of a path, kept for the life of a Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, keep: int = 2 * KEEP) -> WordEncoder:
+    """The encoder of a path that keeps so many words, until its Python worker ends or runs another operator."""
+    sole_cache("word ids", _ENCODERS.clear)
+    if (path, keep) not in _ENCODERS:
+        _ENCODERS[path, keep] = WordEncoder(path, keep)
+    return _ENCODERS[path, keep]

@@ -5,12 +5,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from kgspark.llm import gga, packing, token_counts, token_output
+from kgspark.llm import gga, near_dup, packing, sketch, token_counts, token_output, word_bpe
 from kgspark.llm.piece_bpe import PieceEncoder, model
 from kgspark.llm.queries import QUERIES
 from kgspark.llm.sp_codec import decode_ids, encode_texts
@@ -247,3 +248,19 @@ def test_caches_stay_within_their_bounds():
         word.encode([f"word{k} {'x' * (k % 300)}"])
     for cache in (piece.known, word.known):
         assert len(cache) <= 301 and max(map(len, cache)) <= 64
+
+
+def test_a_worker_keeps_the_cache_of_one_operator_only(docs):
+    texts, path = [r.text for r in docs.limit(50).collect()], public_tokenizers.path("word_bpe_49k.json")
+    list(near_dup._signatures(4, 4)(iter([pa.record_batch([pa.array([1] * 3)] * 3 + [pa.array(texts[:3])], names=list("abcd"))])))
+    assert sketch._WORD_CACHE
+    enc = word_bpe.encoder(path, 1000)
+    assert not sketch._WORD_CACHE and word_bpe.encoder(path, 1000) is enc
+    assert enc.encode(texts) == WordEncoder(path).encode(texts) and 0 < len(enc.known) <= 1000
+    list(near_dup._full_sets(16)(iter([pa.record_batch([pa.array([1]), pa.array(texts[:1])], names=["a", "b"])])))
+    assert not word_bpe._ENCODERS and sketch._WORD_CACHE
+
+
+def test_op3_pieces_are_the_same_with_few_words_kept(docs):
+    rows = lambda **o: sorted(map(tuple, packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), **o).collect()))
+    assert rows(keep=50) == rows()
